@@ -30,9 +30,13 @@ def dense_index(
     hot group is split over many tasks), per-task block counts, prefix sums of
     those counts over the (small) block table, and a join back. ``order_cols``
     must be a total order within a group (rows equal on every ordering column
-    must be identical rows), which makes a recomputed task reproduce the same
-    positions. The partition count is explicit so AQE never re-slices the
-    blocks between the two reads.
+    must be identical rows).
+
+    The tagged blocks are read twice (counts, then positions). Range bounds
+    come from sampling, and a sample of shuffled input is not reproducible, so
+    the tagged frame is checkpointed to the shared checkpoint folder: both
+    reads see the same blocks, and a lost executor re-reads rather than
+    re-tags.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -42,6 +46,7 @@ def dense_index(
         .sortWithinPartitions(*keys)
         .withColumn("_blk", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
     blocks = tagged.groupBy("_blk", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")

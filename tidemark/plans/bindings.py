@@ -252,10 +252,23 @@ WIRE_COLS = [
 ]
 
 
+_LOG_MEMO: dict[tuple[str, str], DataFrame] = {}
+
+
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a keyed event log: topic 'lineitem', partition =
     l_orderkey mod 4, offset = dense position in the partition ordered by
-    every lineitem column, key = symbol bytes, seq = arrival order."""
+    every lineitem column, key = symbol bytes, seq = arrival order.
+
+    Numbering checkpoints the sorted log once; the result is reused for the
+    same application and input folder (the inputs are read-only)."""
+    memo_key = (spark.sparkContext.applicationId, sf_dir)
+    if memo_key not in _LOG_MEMO:
+        _LOG_MEMO[memo_key] = _build_log(spark, sf_dir)
+    return _LOG_MEMO[memo_key]
+
+
+def _build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").withColumn(
         "partition", F.pmod(F.col("l_orderkey"), F.lit(LOG_PARTITIONS)).cast("int")
     )
@@ -333,10 +346,10 @@ def log_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG_REDELIVERED_SQL = """
   SELECT * FROM (
     SELECT * FROM log
-    UNION ALL
+    UNION ALL BY NAME
     SELECT * EXCLUDE (seq), seq + 4 AS seq FROM log WHERE l_returnflag = 'N' AND l_linestatus = 'O'
-    UNION ALL
-    SELECT s.* EXCLUDE (offset, seq, k, n), n + k AS offset, (n + k) * 8 + s.partition AS seq
+    UNION ALL BY NAME
+    SELECT s.* EXCLUDE (offset, seq, k), n + k AS offset, (n + k) * 8 + s.partition AS seq
     FROM (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY offset) - 1 AS k
           FROM log WHERE l_returnflag = 'N' AND l_linestatus = 'O') s
     JOIN (SELECT partition AS p, count(*) AS n FROM log GROUP BY partition) e ON s.partition = e.p
