@@ -252,20 +252,25 @@ WIRE_COLS = [
 ]
 
 
-_LOG_MEMO: dict[tuple[str, str], DataFrame] = {}
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Build a binding once per application and input folder and checkpoint it
+    to the shared checkpoint folder: the log stands in for an event log that
+    already sits on storage, so later plans start from a plain scan of it
+    (the inputs are read-only, so the memo cannot go stale)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = build(spark, sf_dir).checkpoint(eager=True)
+    return _MEMO[key]
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a keyed event log: topic 'lineitem', partition =
     l_orderkey mod 4, offset = dense position in the partition ordered by
-    every lineitem column, key = symbol bytes, seq = arrival order.
-
-    Numbering checkpoints the sorted log once; the result is reused for the
-    same application and input folder (the inputs are read-only)."""
-    memo_key = (spark.sparkContext.applicationId, sf_dir)
-    if memo_key not in _LOG_MEMO:
-        _LOG_MEMO[memo_key] = _build_log(spark, sf_dir)
-    return _LOG_MEMO[memo_key]
+    every lineitem column, key = symbol bytes, seq = arrival order."""
+    return _materialized(spark, sf_dir, "log", _build_log)
 
 
 def _build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +322,10 @@ LOG_SEQ_SQL = "SELECT *, offset * 8 + partition AS seq FROM log0"
 
 
 def log_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _materialized(spark, sf_dir, "log_redelivered", _build_log_redelivered)
+
+
+def _build_log_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as a consumer sees it after trouble:
 
     * every record of the slice (returnflag 'N', linestatus 'O') is delivered
