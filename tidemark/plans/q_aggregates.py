@@ -1 +1,86 @@
-"""placeholder"""
+"""Aggregations bound to the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions import scalar as fn
+from tidemark.operators.offsets import partition_ends
+from tidemark.plans import bindings as B
+from tidemark.plans.bindings import _event_id_sql, _object_key_sql, with_ctes
+from tidemark.plans.catalog import query
+from tidemark.plans.q_joins import ACTUAL_SQL, stored_prices
+from tidemark.plans.replay import build_events, digest_tree, ordered_digest
+from tidemark.sinks.files import file_content_digest
+
+EID = _event_id_sql("schema_version", "provider", "symbol", "trading_date")
+
+
+@query("agg_manifest_files", with_ctes(ACTUAL_SQL, "bars_big"))
+def q_agg_manifest_files(spark, sf_dir):
+    return file_content_digest(B.bars_big(spark, sf_dir))
+
+
+@query(
+    "agg_ordered_digest",
+    with_ctes(
+        f"""SELECT count(*) AS events,
+                   sha256(string_agg({EID} || chr(10), '' ORDER BY trading_date, symbol)) AS ordered_event_sha256
+            FROM bars""",
+        "bars",
+    ),
+)
+def q_agg_ordered_digest(spark, sf_dir):
+    return ordered_digest(build_events(B.bars(spark, sf_dir)))
+
+
+@query(
+    "agg_digest_tree",
+    with_ctes(
+        f"""SELECT count(*) AS days, sha256(string_agg(day_sha256 || chr(10), '' ORDER BY trading_date)) AS tree_sha256
+            FROM (SELECT trading_date, sha256(string_agg(event_id || chr(10), '' ORDER BY symbol)) AS day_sha256
+                  FROM (SELECT {EID} AS event_id, symbol, strftime(trading_date, '%Y-%m-%d') AS trading_date FROM bars_big) e
+                  GROUP BY trading_date) d""",
+        "bars_big",
+    ),
+)
+def q_agg_digest_tree(spark, sf_dir):
+    return digest_tree(build_events(B.bars_big(spark, sf_dir)))
+
+
+@query("agg_outbox_status", with_ctes("SELECT status, count(*) AS tasks FROM outbox GROUP BY status", "outbox"))
+def q_agg_outbox_status(spark, sf_dir):
+    return B.outbox(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("tasks"))
+
+
+@query(
+    "agg_sum_offsets",
+    with_ctes(
+        """SELECT topic, sum(end_offset) AS source_events, count(*) AS partitions FROM
+             (SELECT topic, partition, max(offset) + 1 AS end_offset FROM log_redelivered GROUP BY topic, partition) e
+           GROUP BY topic""",
+        "log_redelivered",
+    ),
+)
+def q_agg_sum_offsets(spark, sf_dir):
+    ends = partition_ends(B.log_redelivered(spark, sf_dir))
+    return ends.groupBy("topic").agg(F.sum("end_offset").alias("source_events"), F.count(F.lit(1)).alias("partitions"))
+
+
+@query(
+    "agg_archive_objects",
+    with_ctes(
+        f"""SELECT count(DISTINCT object_key) AS archived_objects, count(*) AS logical_prices,
+                   count(DISTINCT object_key) = count(*) AS one_object_per_price
+            FROM (SELECT {_object_key_sql('provider', 'symbol', 'trading_date', EID)} AS object_key FROM bars_big) k""",
+        "bars_big",
+    ),
+)
+def q_agg_archive_objects(spark, sf_dir):
+    p = stored_prices(spark, sf_dir)
+    keys = p.select(fn.object_key("provider", "symbol", "trading_date", "event_id").alias("object_key"))
+    return keys.agg(
+        F.count_distinct("object_key").alias("archived_objects"),
+        F.count(F.lit(1)).alias("logical_prices"),
+        (F.count_distinct("object_key") == F.count(F.lit(1))).alias("one_object_per_price"),
+    )
