@@ -37,6 +37,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     from tidemark.plans import (  # noqa: F401
         q_aggregates,
+        q_composite,
         q_core,
         q_jobs,
         q_joins,

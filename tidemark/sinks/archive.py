@@ -28,7 +28,7 @@ def archive_rows(prices: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(prices: DataFrame, root: str, layout: str = "compact") -> None:
+def write_archive(prices: DataFrame, root: str, layout: str = "compact", mode: str = "overwrite") -> None:
     """zstd Parquet under ``root`` partitioned by the layout's columns.
 
     Rows are clustered by the partition columns first (one shuffle keyed on
@@ -38,13 +38,12 @@ def write_archive(prices: DataFrame, root: str, layout: str = "compact") -> None
     """
     parts = LAYOUTS[layout]
     rows = archive_rows(prices)
-    spark = prices.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (
         rows.repartition(*[F.col(c) for c in parts])
         .sortWithinPartitions(*parts, "trading_date")
         .drop("object_key")
-        .write.mode("overwrite")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*parts)
         .parquet(root)
