@@ -22,6 +22,7 @@ def dense_index(
     order_cols: list[str | Column],
     out: str = "idx",
     num_partitions: int | None = None,
+    stable_input: bool = False,
 ) -> DataFrame:
     """0-based position of every row inside its group, in ``order_cols`` order.
 
@@ -36,7 +37,8 @@ def dense_index(
     come from sampling, and a sample of shuffled input is not reproducible, so
     the tagged frame is checkpointed to the shared checkpoint folder: both
     reads see the same blocks, and a lost executor re-reads rather than
-    re-tags.
+    re-tags. ``stable_input=True`` skips that checkpoint when ``df`` is a
+    direct file scan (its row order, hence the sample, is reproducible).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -46,8 +48,9 @@ def dense_index(
         .sortWithinPartitions(*keys)
         .withColumn("_blk", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    if not stable_input:
+        tagged = tagged.checkpoint(eager=True)
     blocks = tagged.groupBy("_blk", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )

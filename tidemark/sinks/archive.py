@@ -9,11 +9,14 @@ from tidemark.functions import scalar as fn
 from tidemark.schemas import EVENT_FIELDS
 
 # Layouts: the reference's key layout is one object per event under
-# provider=/symbol=/year=/date=. On a large archive that is one file per price,
-# so the default here is one folder per (provider, symbol, year) holding the
-# year's prices; "per_date" keeps the reference's folder depth.
+# provider=/symbol=/year=/date=. On a large archive that is one file per price
+# and one folder per symbol-day, so the default here is one folder per
+# (provider, year) whose files hold contiguous symbol ranges sorted by
+# (symbol, trading_date): a symbol read prunes row groups by Parquet min/max
+# statistics, and the folder count is bounded by the calendar, not by the
+# symbol catalogue. "per_date" keeps the reference's folder depth.
 LAYOUTS = {
-    "compact": ["provider", "symbol", "year"],
+    "compact": ["provider", "year"],
     "per_date": ["provider", "symbol", "year", "date"],
 }
 
@@ -31,16 +34,20 @@ def archive_rows(prices: DataFrame) -> DataFrame:
 def write_archive(prices: DataFrame, root: str, layout: str = "compact", mode: str = "overwrite") -> None:
     """zstd Parquet under ``root`` partitioned by the layout's columns.
 
-    Rows are clustered by the partition columns first (one shuffle keyed on
-    them), so each folder is written by one task as one file; dynamic
+    One shuffle with the REBALANCE hint on (partition columns, symbol): AQE
+    splits a skewed key (a hot symbol) and merges small partitions, with no
+    extra sampling pass over an expensive input; each task sorts its rows by
+    (symbol, date), so a file holds few symbols in order and row groups prune
+    by min/max. Files per folder are bounded by the task count. Dynamic
     partition overwrite makes a retried write replace exactly the folders it
-    touches (same keys, same content).
+    touches.
     """
     parts = LAYOUTS[layout]
     rows = archive_rows(prices)
+    order = list(dict.fromkeys([*parts, "symbol", "trading_date"]))
     (
-        rows.repartition(*[F.col(c) for c in parts])
-        .sortWithinPartitions(*parts, "trading_date")
+        rows.hint("rebalance", *list(dict.fromkeys([*parts, "symbol"])))
+        .sortWithinPartitions(*order)
         .drop("object_key")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
