@@ -1,0 +1,181 @@
+"""Snapshot files, manifests, replay plan, resume, codec and archive state."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import tempfile
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import codec
+from tidemark.operators import validation as V
+from tidemark.plans import snapshot as S
+from tidemark.plans.replay import build_events, ordered_digest, slice_resume
+from tidemark.sinks import archive as AR
+from tidemark.sinks import eventlog as EL
+from tidemark.sinks.files import write_canonical_csv
+from tidemark.sources import files as SRC
+
+AAPL = [
+    ("AAPL", dt.date(2024, 1, 2), D("185.64"), D("188.44"), D("183.89"), D("185.64"), 82488700, "USD"),
+    ("AAPL", dt.date(2024, 1, 3), D("184.22"), D("185.88"), D("183.43"), D("184.25"), 58414500, "USD"),
+    ("AAPL", dt.date(2024, 1, 4), D("182.15"), D("183.09"), D("180.88"), D("181.91"), 71983600, "USD"),
+]
+SPY = [
+    ("SPY", dt.date(2024, 1, 2), D("472.16"), D("473.67"), D("470.49"), D("472.65"), 12345600, "USD"),
+    ("SPY", dt.date(2024, 1, 3), D("470.43"), D("471.19"), D("468.17"), D("468.79"), 13456700, "USD"),
+    ("SPY", dt.date(2024, 1, 4), D("468.30"), D("470.96"), D("467.05"), D("467.28"), 14567800, "USD"),
+]
+ROWS = (
+    "symbol string, trading_date date, open decimal(20,8), high decimal(20,8), low decimal(20,8), "
+    "close decimal(20,8), volume long, currency string"
+)
+
+
+def scratch():
+    return tempfile.mkdtemp(prefix="tidemark-test-", dir="/tmp")
+
+
+def test_canonical_file_golden_checksum(spark):
+    """The AAPL fixture is canonical text, so our writer reproduces its bytes."""
+    out = scratch()
+    write_canonical_csv(spark.createDataFrame(AAPL, ROWS), out)
+    d = SRC.file_digests(spark, out).where(F.col("path").endswith(".csv")).first()
+    assert d.sha256 == "d1b563e03a8c95b795fde02822e0591c2132e4bb3eadbc16bb1442e0aeb1f193"
+    back = SRC.read_canonical_csv(spark, out).orderBy("trading_date").collect()
+    assert [(r.symbol, r.trading_date, r.close) for r in back] == [(x[0], x[1], x[5]) for x in AAPL]
+
+
+def test_non_canonical_header_refused(spark):
+    out = scratch()
+    os.makedirs(f"{out}/file=X")
+    with open(f"{out}/file=X/part.csv", "w") as fh:
+        fh.write("date,close\n2024-01-02,1\n")
+    with pytest.raises(SRC.SourceError):
+        SRC.read_canonical_csv(spark, out)
+
+
+def test_provider_csv_header_and_missing(spark):
+    out = scratch()
+    with open(f"{out}/v.csv", "w", encoding="utf-8") as fh:
+        fh.write("﻿Date, Open ,High,Low,Close,Volume,Name\n2024-01-02,10,11,9,10,1, aapl \n2024-01-02,10,11,9,10,1,msft\n")
+    raw = SRC.read_provider_csv(spark, f"{out}/v.csv")
+    sym = spark.createDataFrame([("AAPL",)], "symbol string")
+    typed = SRC.type_provider_rows(V.flt_symbol(raw, sym, "name"), F.col("name"), "usd").collect()
+    assert len(typed) == 1 and typed[0].symbol == "AAPL" and typed[0].currency == "USD" and typed[0].parse_error is None
+    with open(f"{out}/w.csv", "w") as fh:
+        fh.write("Date,Open\n2024-01-02,1\n")
+    with pytest.raises(SRC.SourceError, match="missing: close, high, low, volume"):
+        SRC.read_provider_csv(spark, f"{out}/w.csv")
+
+
+def test_build_and_verify_snapshot(spark):
+    vendor = scratch()
+    with open(f"{vendor}/all.csv", "w") as fh:
+        fh.write("date,open,high,low,close,volume,Name\n")
+        for r in AAPL + SPY:
+            fh.write(f"{r[1]},{r[2]},{r[3]},{r[4]},{r[5]},{r[6]},{r[0]}\n")
+        fh.write("2023-12-29,1,2,0.5,1.5,10,AAPL\n")
+    req = {"schema_version": 1, "dataset_id": "fixture", "provider": "p", "symbols": ["AAPL", "SPY"],
+           "start_date": "2024-01-01", "end_date": "2024-01-31", "currency": "usd"}
+    syms = spark.createDataFrame([("AAPL",), ("SPY",)], "symbol string")
+    out = scratch()
+    files = S.build_snapshot(spark, req, b"{}\n", syms, f"{vendor}/all.csv", out).orderBy("symbol").collect()
+    assert [(f.symbol, f.row_count, str(f.first_date), str(f.last_date)) for f in files] == [
+        ("AAPL", 3, "2024-01-02", "2024-01-04"), ("SPY", 3, "2024-01-02", "2024-01-04")]
+    assert files[0].sha256 == "d1b563e03a8c95b795fde02822e0591c2132e4bb3eadbc16bb1442e0aeb1f193"
+    folder = [os.path.join(out, d) for d in os.listdir(out)][0]
+    ok = S.verify_snapshot(spark, spark.createDataFrame(files), folder).collect()
+    assert all(r.failure is None for r in ok)
+    tampered = spark.createDataFrame(files).withColumn(
+        "sha256", F.when(F.col("symbol") == "SPY", F.lit("0" * 64)).otherwise(F.col("sha256"))
+    )
+    bad = {r.symbol: r.failure for r in S.verify_snapshot(spark, tampered, folder).collect()}
+    assert bad == {"AAPL": None, "SPY": "checksum mismatch for file=SPY"}
+
+
+def test_bad_row_outside_interval_still_fails(spark):
+    vendor = scratch()
+    with open(f"{vendor}/v.csv", "w") as fh:
+        fh.write("date,open,high,low,close,volume\n2024-01-02,10,11,9,10,1\n2020-01-02,10,9,8,10,1\n")
+    req = {"schema_version": 1, "dataset_id": "fixture", "provider": "p", "symbols": ["AAPL"],
+           "start_date": "2024-01-01", "end_date": "2024-01-31", "currency": "USD"}
+    with pytest.raises(S.SnapshotError, match="daily range"):
+        S.build_snapshot(spark, req, b"{}\n", spark.createDataFrame([("AAPL",)], "symbol string"), f"{vendor}/v.csv", scratch())
+
+
+def six_events(spark):
+    rows = [r for r in AAPL + SPY]
+    df = spark.createDataFrame(rows, ROWS).select(
+        F.lit(1).alias("schema_version"), F.lit("synthetic-test-fixture").alias("provider"), "*",
+        F.lit("fixture-v1").alias("snapshot_id"),
+    )
+    return build_events(df)
+
+
+def test_replay_order_and_digest(spark):
+    ev = six_events(spark)
+    rep = ordered_digest(ev).first()
+    assert rep.events == 6
+    assert rep.ordered_event_sha256 == "619c7438d5135c316297856c59246ce41fa4fe0e60299cfdde5b852353f62eaa"
+    first = ev.orderBy("trading_date", "symbol").first()
+    assert first.event_id == "4347995e448243ea0fd0a6ab7b4132c20082adad4de4fef98b11274ab01c677f"
+    assert first.open == "185.64"
+
+
+def test_resume_and_position(spark):
+    ev = six_events(spark)
+    rest = slice_resume(ev, "2024-01-03", "AAPL").orderBy("trading_date", "symbol").collect()
+    assert [(r.trading_date, r.symbol) for r in rest] == [("2024-01-03", "SPY"), ("2024-01-04", "AAPL"), ("2024-01-04", "SPY")]
+    pos = scratch() + "/pos"
+    EL.write_replay_position(spark, pos, "/m.json", "abc")
+    assert EL.read_replay_position(spark, pos, "/m.json") == "abc"
+    with pytest.raises(ValueError, match="another manifest"):
+        EL.read_replay_position(spark, pos, "/other.json")
+
+
+def test_codec_round_trip_and_garbage(spark):
+    ev = six_events(spark)
+    enc = codec.encode(ev)
+    recs = enc.select(F.lit("prices").alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"), "value")
+    extra = spark.createDataFrame(
+        [("prices", 0, 1, bytearray(b"not-protobuf")), ("prices", 0, 2, bytearray(b""))],
+        "topic string, partition int, offset long, value binary",
+    )
+    dec = codec.decode(recs.unionByName(extra))
+    j = V.val_event_contract(dec, F.col("decodable")).collect()
+    good = [r for r in j if r.decodable and r.event_id]
+    assert len(good) == 6 and all(r.reject_reason is None for r in good)
+    assert sorted(r.close for r in good)[0] == "181.91"
+    reasons = sorted(r.reject_reason for r in j if r.reject_reason)
+    assert reasons == [V.EV_BAD_TEXT, V.EV_NOT_DECODABLE]
+
+
+def test_archive_state_cases(spark):
+    att = spark.createDataFrame(
+        [("a", 1, False), ("a", 2, True), ("b", 1, False), ("c", 1, True), ("d", 1, False), ("d", 2, False)],
+        "event_id string, attempt int, ok boolean",
+    )
+    got = {r.event_id: (r.status, r.attempt_count) for r in AR.archive_state(att, max_attempts=2).collect()}
+    assert got == {"a": ("archived", 2), "b": ("pending", 1), "c": ("archived", 1), "d": ("failed", 2)}
+    one = {r.event_id: r.status for r in AR.archive_state(att, max_attempts=1).collect()}
+    assert one["b"] == "failed" and one["a"] == "failed"
+
+
+def test_archive_round_trip(spark):
+    ev = six_events(spark)
+    prices = ev.select(
+        "event_id", F.col("schema_version").cast("int").alias("schema_version"), "provider", "symbol",
+        F.to_date("trading_date").alias("trading_date"),
+        *[F.col(c).cast("decimal(20,8)").alias(c) for c in ("open", "high", "low", "close")],
+        "volume", "currency", "snapshot_id",
+    )
+    root = scratch() + "/archive"
+    AR.write_archive(prices, root)
+    AR.write_archive(prices, root)  # a retried write replaces, never duplicates
+    back = SRC.read_archive(spark, root)
+    assert back.count() == 6
+    assert back.select("event_id").distinct().count() == 6
