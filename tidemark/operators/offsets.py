@@ -35,11 +35,13 @@ def dense_index(
 
     The tagged blocks are read twice (counts, then positions). Range bounds
     come from sampling, and a sample of shuffled input is not reproducible, so
-    the tagged frame is checkpointed to the shared checkpoint folder: both
-    reads see the same blocks, and a lost executor re-reads rather than
-    re-tags. ``stable_input=True`` skips that checkpoint when ``df`` is a
-    direct file scan (its row order, hence the sample, is reproducible).
+    the tagged frame is written as a table to the shared checkpoint folder:
+    both reads see the same blocks, and a lost executor re-reads rather than
+    re-tags. ``stable_input=True`` skips that table when ``df`` is a direct
+    file scan (its row order, hence the sample, is reproducible).
     """
+    from tidemark.session import materialize
+
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in [*group_cols, *order_cols]]
@@ -50,7 +52,7 @@ def dense_index(
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     if not stable_input:
-        tagged = tagged.checkpoint(eager=True)
+        tagged = materialize(tagged, "dense-index")
     blocks = tagged.groupBy("_blk", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )

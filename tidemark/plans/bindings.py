@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalar as fn
 from tidemark.operators.offsets import dense_index
 from tidemark.schemas import PRICE_TYPE
+from tidemark.session import materialize
 
 # Fixed values of the bindings (identities of the derived datasets).
 BARS_PROVIDER = "events"
@@ -262,7 +263,7 @@ def _materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFra
     (the inputs are read-only, so the memo cannot go stale)."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
-        _MEMO[key] = build(spark, sf_dir).checkpoint(eager=True)
+        _MEMO[key] = materialize(build(spark, sf_dir), f"binding-{name}")
     return _MEMO[key]
 
 
@@ -373,7 +374,12 @@ LOG_REDELIVERED_SQL = """
 
 
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Start offsets: a tenth of each even partition is already consumed."""
+    """Start offsets: a tenth of each even partition is already consumed
+    (one row per topic partition, stored like a checkpoint table)."""
+    return _materialized(spark, sf_dir, "checkpoints", _build_checkpoints)
+
+
+def _build_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     lg = log(spark, sf_dir)
     return (
         lg.groupBy("topic", "partition")

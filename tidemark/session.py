@@ -68,6 +68,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
+
+    Preferred over ``DataFrame.checkpoint()``: the table is columnar and
+    compressed, later scans read only the columns they need and push filters,
+    and a lost executor re-reads the table instead of recomputing its input.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def guarded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
