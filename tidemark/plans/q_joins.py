@@ -125,10 +125,13 @@ def verify_failures(expected, actual):
     """One failure per expected file, first in the fixed order: unsafe path,
     missing, checksum, row count, symbol, first date, last date."""
     j = expected.join(actual, "path", "left")
+    if "a_header" not in j.columns:
+        j = j.withColumn("a_header", F.lit(HEADER))
     reason = (
         F.when(V.unsafe_path(F.col("path")), F.concat(F.lit("unsafe path "), F.col("path")))
         .when(F.col("a_sha256").isNull(), F.concat(F.lit("missing "), F.col("path")))
         .when(F.col("a_sha256") != F.col("sha256"), F.concat(F.lit("checksum mismatch for "), F.col("path")))
+        .when(F.col("a_header") != F.lit(HEADER), F.concat(F.col("path"), F.lit(" has a non-canonical header")))
         .when(F.col("a_row_count") != F.col("row_count"), F.concat(F.lit("row count mismatch for "), F.col("path")))
         .when(F.col("a_symbol") != F.col("symbol"), F.concat(F.lit("symbol mismatch for "), F.col("path")))
         .when(F.col("a_first_date") != F.col("first_date"), F.concat(F.lit("first date mismatch for "), F.col("path")))
