@@ -30,6 +30,9 @@ def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Local runs have few cores and small stages: smaller coalesced
+        # partitions keep all cores busy (a cluster sizes this to its executors).
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", "16g")
