@@ -418,9 +418,9 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
         (day % 3).cast("int").alias("attempt_count"),
         F.when(
             status == "processing",
-            F.lit(OUTBOX_BASE).cast("timestamp") + F.make_interval(mins=(day % 10).cast("int")),
+            F.lit(OUTBOX_BASE).cast("timestamp_ntz") + F.make_interval(mins=(day % 10).cast("int")),
         ).alias("claimed_at"),
-        F.col("trading_date").cast("timestamp").alias("created_at"),
+        F.col("trading_date").cast("timestamp_ntz").alias("created_at"),
     )
 
 

@@ -440,7 +440,7 @@ def q_flt_empty_symbol(spark, sf_dir):
 )
 def q_flt_claimable(spark, sf_dir):
     o = B.outbox(spark, sf_dir)
-    return V.flt_claimable(o, F.lit(B.OUTBOX_NOW).cast("timestamp"), max_attempts=2).select(
+    return V.flt_claimable(o, F.lit(B.OUTBOX_NOW).cast("timestamp_ntz"), max_attempts=2).select(
         "event_id", "status", "attempt_count"
     )
 

@@ -82,7 +82,7 @@ def q_join_checkpoint(spark, sf_dir):
     ),
 )
 def q_join_outbox_price(spark, sf_dir):
-    claimed = V.flt_claimable(B.outbox(spark, sf_dir), F.lit(B.OUTBOX_NOW).cast("timestamp"), max_attempts=2)
+    claimed = V.flt_claimable(B.outbox(spark, sf_dir), F.lit(B.OUTBOX_NOW).cast("timestamp_ntz"), max_attempts=2)
     p = stored_prices(spark, sf_dir).select("event_id", "symbol", "trading_date", "close")
     return claimed.join(p, "event_id", "inner").select("event_id", "object_key", "symbol", "trading_date", "close")
 

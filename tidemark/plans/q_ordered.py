@@ -144,7 +144,7 @@ def q_sort_manifest(spark, sf_dir):
     ),
 )
 def q_topk_next_task(spark, sf_dir):
-    c = V.flt_claimable(B.outbox(spark, sf_dir), F.lit(B.OUTBOX_NOW).cast("timestamp"), max_attempts=2)
+    c = V.flt_claimable(B.outbox(spark, sf_dir), F.lit(B.OUTBOX_NOW).cast("timestamp_ntz"), max_attempts=2)
     # The limit is the feature: the oldest claimable tasks (top-k, no full sort).
     return c.orderBy("created_at", "event_id").limit(10).select("event_id", "created_at")
 
