@@ -3,6 +3,9 @@ column handling that is safe against clashing names."""
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship(module: str) -> None:
+    """Send a module's functions and classes to Python workers by value, so executors
+    need no copy of this package on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, quality_rules, sharding, url_filter
+from tidemark.llm import chat, ordinal, quality_rules, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -208,3 +208,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's capture against the list entries active when it was fetched."""
     pages = table(spark, sf_dir, "pages")
     return url_filter.filter_captures(fetch_dates(pages), list_entries(pages))
+
+
+@_query("op3_ordinal_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and verdict for all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = ordinal.classify(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "score", "expected_grade", "tail_probability", "kept")
+
+
+@_query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that repeat an earlier one, with original offsets."""
+    return substring_dedup.duplicate_passages(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_simhash_components")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
