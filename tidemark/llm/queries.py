@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, ordinal, quality_rules, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import chat, decontaminate, ordinal, quality_rules, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -228,3 +228,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of all documents."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
+
+
+@_query("op1_decontaminate")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) whose alignment reaches the threshold."""
+    return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
