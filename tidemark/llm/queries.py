@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, ordinal, quality_rules, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import chat, decontaminate, ordinal, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -234,3 +234,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) whose alignment reaches the threshold."""
     return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str, model: str = sentencepiece_codec.MODEL) -> DataFrame:
+    """Ids of all documents, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = sentencepiece_codec.Vocabulary.load(model)
+    return sentencepiece_codec.encode_documents(docs, vocabulary, check=True).select("doc_id", "n_tokens", "ids", "round_trip")
