@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, ordinal, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import chat, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -242,3 +242,9 @@ def op8(spark: SparkSession, sf_dir: str, model: str = sentencepiece_codec.MODEL
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = sentencepiece_codec.Vocabulary.load(model)
     return sentencepiece_codec.encode_documents(docs, vocabulary, check=True).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
+@_query("op9_ppm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word baseline and PPM log10 probability of all documents."""
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
