@@ -28,6 +28,8 @@ MIN_SCORE = 0.6
 MEMO_WORDS = 500_000
 # Item n-grams are broadcast up to this many (16 bytes each); beyond it they are joined by shuffle.
 BROADCAST_GRAMS = 2_000_000
+# Candidate documents' keys are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
+BROADCAST_KEYS = 4_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -171,6 +173,10 @@ def find_contamination(
         digest.alias("k"),
         text.alias("text"),
     )
+    # Few documents are candidates: while their keys are few enough to broadcast, only their texts are shuffled.
+    keys = candidates.select(F.xxhash64("digest").alias("x")).distinct()
+    if keys.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(keys), F.xxhash64("k") == F.col("x"), "left_semi")
     pairs = texts.join(candidates, F.col("k") == F.col("digest")).select("doc", "digest", "text", "item_id", "item", "item_text")
     out = T.StructType(
         [
