@@ -239,14 +239,11 @@ def clean_documents(docs: DataFrame, items: DataFrame, min_score: float = MIN_SC
     """The rows of ``docs`` without a copy of any item; all columns unchanged."""
     cols = docs.columns
     stored = materialize(
-        docs.select(
-            F.monotonically_increasing_id().alias("row_number"),
-            F.col(f"`{text_col}`").cast("string").alias("text"),
-            F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row"),
-        ),
+        docs.select(F.monotonically_increasing_id().alias("row_number"), F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row")),
         "numbered",
     )
-    hits = find_contamination(stored, items, min_score, id_col="row_number")
+    texts = stored.select("row_number", F.col(f"row.`{text_col}`").cast("string").alias("text"))
+    hits = find_contamination(texts, items, min_score, id_col="row_number")
     return stored.join(hits.select(F.col("doc_id").alias("row_number")).distinct(), "row_number", "left_anti").select(
         *(F.col(f"row.`{c}`").alias(c) for c in cols)
     )

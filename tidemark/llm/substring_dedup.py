@@ -140,7 +140,7 @@ def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every
 
 
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cols: list[str] | None = None) -> DataFrame:
-    """docs as a stored table (rid, doc_id, text, row): the row's number is fixed by writing it."""
+    """docs as a stored table (rid, doc_id, text, row with the columns ``cols``): the row's number is fixed by writing it."""
     extra = [F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row")] if cols else []
     return materialize(
         docs.select(
@@ -169,7 +169,7 @@ def remove_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col:
     Every row stays, with an empty text if all of it repeats; n_chars, where there is one, follows
     the text. White space after a removed passage goes with it up to the line's end.
     """
-    base = numbered(docs, id_col, text_col, docs.columns)
+    base = numbered(docs, id_col, text_col, [c for c in docs.columns if c != text_col])
     runs = repeated_runs(base.select("rid", "doc_id", "text"), min_run_words)
     spans = runs.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     joined = base.join(spans, "rid", "left")
@@ -184,14 +184,10 @@ def remove_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col:
     )
     trimmed = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.regexp_replace(p, r"^[ \t]+", "")))
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(trimmed, ""))
-    out = joined.select("row.*", text.alias("__cut"))
-    kind = docs.schema[text_col].dataType
-    done = [F.col("__cut").cast(kind).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    if "n_chars" in docs.columns:
-        whole = F.col("__cut")
-        same = F.col("n_chars")
-        changed = F.char_length(whole).cast(docs.schema["n_chars"].dataType)
-        done[docs.columns.index("n_chars")] = F.when(
-            F.col(f"`{text_col}`").eqNullSafe(whole), same
-        ).otherwise(changed).alias("n_chars")
-    return out.select(*done)
+    out = joined.select("row", F.col("text"), text.alias("cut"))
+    done = {c: F.col(f"row.`{c}`") for c in docs.columns if c != text_col}
+    done[text_col] = F.col("cut").cast(docs.schema[text_col].dataType)
+    if "n_chars" in done:
+        counted = F.char_length("cut").cast(docs.schema["n_chars"].dataType)
+        done["n_chars"] = F.when(F.col("text").eqNullSafe(F.col("cut")), done["n_chars"]).otherwise(counted)
+    return out.select(*(done[c].alias(c) for c in docs.columns))
