@@ -9,6 +9,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_path
+
 # Words are maximal runs without the six ASCII white-space characters.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,8 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_or_empty(col: str) -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a table in the shared checkpoint folder, as the library's helper
+    does, but compressed with zstd: these tables hold texts and hashes."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def words(text: Column) -> Column:
@@ -45,11 +51,3 @@ def bind(value: Column, body) -> Column:
     times inside ``body`` is not computed again for every use.
     """
     return F.transform(F.array(value), body)[0]
-
-
-def replace_columns(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """``df`` with ``cols`` at its end; an input column whose name differs from
-    one of them in letter case only, or not at all, gives way to the new one."""
-    taken = {c.lower() for c in cols}
-    keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
-    return df.select(*keep, *(c.alias(n) for n, c in cols.items()))

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ship
-from tidemark.session import materialize
+from tidemark.llm.common import materialize, ship
 
 ship(__name__)
 

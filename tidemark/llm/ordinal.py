@@ -108,23 +108,22 @@ def fit_ordinal(index: list[np.ndarray], grades: np.ndarray, levels: int, dimens
     theta = np.linspace(-1.0, 1.0, levels - 1)
     if n == 0:
         return OrdinalModel(np.zeros(dimensions, np.float32), theta)
-    common = np.bincount(np.concatenate(index), minlength=dimensions) >= min_rows
-    spare = np.array([0], dtype=np.int32)  # a row needs one feature at least
-    index = [x[common[x]] if common[x].any() else spare for x in index]
+    flat = np.concatenate(index)
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in index])
+    common = np.bincount(flat, minlength=dimensions) >= min_rows
+    used = np.flatnonzero(common)
+    place = np.zeros(dimensions, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    rows, flat = rows[common[flat]], place[flat[common[flat]]]
     sizes = np.bincount(grades, minlength=levels)
-    row_weight = (n / np.maximum(sizes, 1) / np.count_nonzero(sizes))[grades]
-    row_weight = np.sqrt(row_weight)
+    row_weight = np.sqrt(n / np.maximum(sizes, 1) / np.count_nonzero(sizes))[grades]
     row_weight /= row_weight.sum()
-    used, flat = np.unique(np.concatenate(index), return_inverse=True)
-    ends = np.cumsum([len(x) for x in index])
-    starts = np.concatenate([[0], ends[:-1]])
-    rows = np.repeat(np.arange(n), np.diff(np.concatenate([[0], ends])))
     w = np.zeros(len(used))
     a, gaps = theta[0], np.log(np.diff(theta))
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros(levels - 1), np.zeros(levels - 1)]
     for step in range(1, epochs + 1):
         theta = a + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        s = np.add.reduceat(w[flat], starts)
+        s = np.bincount(rows, weights=w[flat], minlength=n)
         upper = np.concatenate([theta, [np.inf]])[grades]
         lower = np.concatenate([[-np.inf], theta])[grades]
         cu, cl = _logistic(upper - s), _logistic(lower - s)
@@ -182,8 +181,8 @@ def train_classifier(docs: DataFrame, ratings: DataFrame, levels: int, id_col: s
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("grade"), pa.array(packed, pa.binary())], ["id", "grade", "features"])
 
     got = sample.mapInArrow(extract, "id bigint, grade int, features binary").orderBy(F.xxhash64("id", "features"), "id", "features").limit(max_rows).collect()
-    index = [np.frombuffer(r["features"], dtype=np.int32) for r in got]
     grades = np.array([min(max(r["grade"], 0), levels - 1) for r in got], dtype=np.int64)
+    index = [np.frombuffer(r["features"], dtype=np.int32) for r in got]
     return fit_ordinal(index, grades, levels)
 
 

@@ -21,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
-from tidemark.session import materialize, scratch_path
+from tidemark.llm.common import materialize, ship
+from tidemark.session import scratch_path
 
 ship(__name__)
 

@@ -16,8 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UPPER, bind, words
-from tidemark.session import materialize
+from tidemark.llm.common import UPPER, bind, materialize, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import shuffle_partitions
-from tidemark.session import materialize
+from tidemark.llm.common import materialize, shuffle_partitions
 
 # Fixed values of the published algorithm.
 MULTIPLIER = Decimal(2862933555777941757)
