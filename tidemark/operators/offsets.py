@@ -22,7 +22,6 @@ def dense_index(
     order_cols: list[str | Column],
     out: str = "idx",
     num_partitions: int | None = None,
-    stable_input: bool = False,
 ) -> DataFrame:
     """0-based position of every row inside its group, in ``order_cols`` order.
 
@@ -34,25 +33,23 @@ def dense_index(
     must be identical rows).
 
     The tagged blocks are read twice (counts, then positions). Range bounds
-    come from sampling, and a sample of shuffled input is not reproducible, so
-    the tagged frame is written as a table to the shared checkpoint folder:
-    both reads see the same blocks, and a lost executor re-reads rather than
-    re-tags. ``stable_input=True`` skips that table when ``df`` is a direct
-    file scan (its row order, hence the sample, is reproducible).
+    come from sampling and two plans over the same input may draw different
+    ones, so the tagged frame is always written as a table to the shared
+    checkpoint folder: both reads see the same blocks, and a lost executor
+    re-reads rather than re-tags.
     """
     from tidemark.session import materialize
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in [*group_cols, *order_cols]]
-    tagged = (
+    tagged = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_blk", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "dense-index",
     )
-    if not stable_input:
-        tagged = materialize(tagged, "dense-index")
     blocks = tagged.groupBy("_blk", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as fn
 from tidemark.schemas import EVENT_FIELDS
+from tidemark.session import materialize, path_exists
+from tidemark.sources.files import read_archive
 
 # Layouts: the reference's key layout is one object per event under
 # provider=/symbol=/year=/date=. On a large archive that is one file per price
@@ -38,17 +40,28 @@ def write_archive(prices: DataFrame, root: str, layout: str = "compact", mode: s
     splits a skewed key (a hot symbol) and merges small partitions, with no
     extra sampling pass over an expensive input; each task sorts its rows by
     (symbol, date), so a file holds few symbols in order and row groups prune
-    by min/max. Files per folder are bounded by the task count. Dynamic
-    partition overwrite makes a retried write replace exactly the folders it
-    touches.
+    by min/max. Files per folder are bounded by the task count.
+
+    A batch adds to what the archive holds: with ``mode`` overwrite, the folders
+    that the batch touches are replaced by their rows and the batch's, one per
+    event. So an incremental write keeps earlier prices and a retried one
+    changes nothing. The merged rows are stored before the folders they come from
+    are replaced.
     """
     parts = LAYOUTS[layout]
-    rows = archive_rows(prices)
+    rows = archive_rows(prices).drop("object_key")
+    spark = prices.sparkSession
+    if mode == "overwrite" and path_exists(spark, root):
+        rows = materialize(rows, "archive-batch")
+        touched = rows.select(*[F.col(c).alias(f"_{c}") for c in parts]).distinct()
+        same_folder = [F.col(c) == F.col(f"_{c}") for c in parts]
+        held = read_archive(spark, root).join(touched, same_folder, "left_semi")
+        held = held.join(rows.select("event_id"), "event_id", "left_anti")
+        rows = materialize(rows.unionByName(held.select(*rows.columns)), "archive-merged")
     order = list(dict.fromkeys([*parts, "symbol", "trading_date"]))
     (
         rows.hint("rebalance", *list(dict.fromkeys([*parts, "symbol"])))
         .sortWithinPartitions(*order)
-        .drop("object_key")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import SOURCE_RECORD
+from tidemark.session import path_exists
 
 
 def write_event_log(records: DataFrame, root: str, mode: str = "append") -> None:
     """Append a batch of log records; each (topic, partition) folder gets the
-    batch's records for that partition, clustered in offset order."""
+    batch's records for that partition in files of consecutive offset ranges, so
+    a partition that holds most of the log is written by many tasks."""
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         records.select(*[f.name for f in SOURCE_RECORD.fields])
-        .repartition("topic", "partition")
+        .repartitionByRange(n, "topic", "partition", "offset")
         .sortWithinPartitions("topic", "partition", "offset")
         .write.mode(mode)
         .partitionBy("topic", "partition")
@@ -53,16 +56,11 @@ def write_replay_position(spark: SparkSession, path: str, manifest: str, last_ev
 def read_replay_position(spark: SparkSession, path: str, manifest: str) -> str | None:
     """Last acknowledged event id, or None when no position was written.
     A position written for another manifest is an error."""
-    try:
-        rows = spark.read.parquet(path).limit(2).collect()
-    except Exception:  # no position yet
+    if not path_exists(spark, path):
         return None
+    rows = spark.read.schema("manifest string, last_event_id string").parquet(path).limit(2).collect()
     if not rows:
         return None
     if rows[0]["manifest"] != manifest:
         raise ValueError("checkpoint belongs to another manifest")
     return rows[0]["last_event_id"]
-
-
-def partition_end_offsets(log: DataFrame) -> DataFrame:
-    return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
