@@ -84,3 +84,14 @@ def test_event_log_partition_is_written_by_many_tasks(spark, tmp_path):
     files = [f for _, _, names in os.walk(f"{tmp_path}/log") for f in names if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(f"{tmp_path}/log").select("offset").distinct().count() == 4000
+
+
+def test_prices_are_kept_exactly_or_refused(spark):
+    from tidemark.functions import scalar as fn
+
+    texts = ["0.123456789", "0.123456780", "1.12345678", "1.000000000", "5.00000000001", "7"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", fn.parse_decimal("t").alias("d"), fn.decimal_problem("t").alias("p")).collect()
+    assert [r.d is None for r in got] == [True, False, False, False, True, False]
+    assert [r.p for r in got] == ["out_of_range", None, None, None, "out_of_range", None]
+    assert all(r.d == Decimal(r.t) for r in got if r.d is not None)

@@ -1,5 +1,4 @@
-"""Row/event/request contracts: each rejection case of the reference tests as
-a DataFrame row, first failure in rule order."""
+"""Row/event/request contracts at their boundaries, first failure in rule order."""
 
 from __future__ import annotations
 
@@ -30,12 +29,16 @@ def r(o, h, lo, c, v, day=2, sym="AAPL", line=1):
 @pytest.mark.parametrize(
     "row,reason",
     [
-        (r("10", "9", "8", "10", 1), V.MSG_DAILY_RANGE),
-        (r("10", "9", "11", "10", 1), V.MSG_LOW_ABOVE_HIGH),
-        (r("0", "9", "0", "8", 1), V.MSG_NOT_POSITIVE),
-        (r("10", "11", "9", "10", -1), V.MSG_NEGATIVE_VOLUME),
-        (r("10", "11", "9", "10", 1, sym="MSFT"), V.MSG_MULTIPLE_SYMBOLS),
-        (r("10", "11", "9", "10", 1), None),
+        # Boundaries: one unit of the last stored decimal, and equality, which passes.
+        (r("50.00000001", "50", "49.5", "49.75", 12), V.MSG_DAILY_RANGE),
+        (r("49.5", "50", "49.5", "50.00000001", 12), V.MSG_DAILY_RANGE),
+        (r("49.49999999", "50", "49.5", "50", 12), V.MSG_DAILY_RANGE),
+        (r("7.25", "7.24999999", "7.25", "7.25", 12), V.MSG_LOW_ABOVE_HIGH),
+        (r("0.00000001", "3", "0", "2", 12), V.MSG_NOT_POSITIVE),
+        (r("61", "62.5", "60.125", "61.5", -(2**62)), V.MSG_NEGATIVE_VOLUME),
+        (r("61", "62.5", "60.125", "61.5", 7, sym="aapl"), V.MSG_MULTIPLE_SYMBOLS),
+        (r("0.00000001", "0.00000001", "0.00000001", "0.00000001", 0), None),
+        (r("61", "61", "61", "61", 2**62), None),
     ],
 )
 def test_row_contract_cases(spark, row, reason):
@@ -43,12 +46,16 @@ def test_row_contract_cases(spark, row, reason):
 
 
 def test_duplicate_date_is_second_row(spark):
-    got = judge_rows(spark, [r("10", "11", "9", "10", 1, line=1), r("10", "11", "9", "10", 1, line=2)])
+    got = judge_rows(spark, [r("33", "34.5", "32.25", "33.75", 8, line=1), r("31", "31.5", "30", "30.5", 9, line=2)])
     assert [g.reject_reason for g in got] == [None, "duplicate AAPL date: 2024-01-02"]
 
 
 def test_first_failure_per_file(spark):
-    rows = [r("10", "11", "9", "10", -1, day=3, line=1), r("0", "9", "0", "8", 1, day=5, line=2), r("10", "11", "9", "10", 1, day=4, line=3)]
+    rows = [
+        r("33", "34.5", "32.25", "33.75", -4, day=9, line=1),
+        r("0", "5.5", "0", "5", 6, day=11, line=2),
+        r("41", "42", "40.5", "41.5", 3, day=10, line=3),
+    ]
     df = spark.createDataFrame(rows, ROW_SCHEMA)
     j = V.val_row_contract(df)
     ff = V.first_failure(j, ["symbol"]).first()

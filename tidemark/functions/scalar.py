@@ -70,10 +70,15 @@ def canonical_decimal(d) -> Column:
     return F.regexp_replace(_c(d).cast(PRICE_TYPE).cast("string"), r"\.?0+$", "")
 
 
+# A digit other than zero behind the eighth decimal: storing it would round.
+_TOO_FINE = r"\.[0-9]{8}[0-9]*[1-9]"
+
+
 def parse_decimal(text) -> Column:
-    """Text -> DECIMAL(20,8), NULL when not a finite decimal or out of range."""
+    """Text -> DECIMAL(20,8), NULL when not a finite decimal, out of range, or
+    finer than eight decimals: a price is kept exactly or refused, never rounded."""
     t = _c(text)
-    return F.when(t.rlike(DECIMAL_TEXT_PATTERN), t.try_cast(PRICE_TYPE))
+    return F.when(t.rlike(DECIMAL_TEXT_PATTERN) & ~t.rlike(_TOO_FINE), t.try_cast(PRICE_TYPE))
 
 
 def decimal_problem(text) -> Column:
@@ -81,7 +86,7 @@ def decimal_problem(text) -> Column:
     t = _c(text)
     return (
         F.when(t.isNull() | ~t.rlike(DECIMAL_TEXT_PATTERN), F.lit("invalid_decimal"))
-        .when(t.try_cast(PRICE_TYPE).isNull(), F.lit("out_of_range"))
+        .when(t.try_cast(PRICE_TYPE).isNull() | t.rlike(_TOO_FINE), F.lit("out_of_range"))
     )
 
 
