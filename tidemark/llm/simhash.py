@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import materialize, ship
+from tidemark.llm.common import ship, store_texts
+from tidemark.session import materialize
 
 ship(__name__)
 
@@ -116,7 +117,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int) -> DataFrame:
         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
         & (_first_shared_bit(F.col("a"), F.col("b"), max_bits) == F.col("bit"))
     )
-    return left.join(right, near).select("a", "b")
+    # Never broadcast: the planner's size estimate does not see the signatures multiply.
+    return left.join(right.hint("merge"), near).select("a", "b")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -192,7 +194,7 @@ def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_co
     cols = docs.columns
     numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row"), F.monotonically_increasing_id().alias("rid"))
     numbered = numbered.select("row", "rid", F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"))
-    stored = materialize(add_fingerprints(numbered, "text", shingle_words, keep=["row", "rid", "id"]), "prints")
+    stored = store_texts(add_fingerprints(numbered, "text", shingle_words, keep=["row", "rid", "id"]), "prints")
     comps = component_table(stored.select(F.col("id").alias("doc_id"), "fp"), max_bits, "doc_id")
     place = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("rid"))
     first = (
