@@ -115,6 +115,8 @@ def fit_ordinal(index: list[np.ndarray], grades: np.ndarray, levels: int, dimens
     place = np.zeros(dimensions, dtype=np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
     rows, flat = rows[common[flat]], place[flat[common[flat]]]
+    # Feature by feature numbers only ever exist for a block of them.
+    blocks = [slice(k, k + 1_000_000) for k in range(0, max(1, len(flat)), 1_000_000)]
     sizes = np.bincount(grades, minlength=levels)
     row_weight = np.sqrt(n / np.maximum(sizes, 1) / np.count_nonzero(sizes))[grades]
     row_weight /= row_weight.sum()
@@ -123,7 +125,7 @@ def fit_ordinal(index: list[np.ndarray], grades: np.ndarray, levels: int, dimens
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros(levels - 1), np.zeros(levels - 1)]
     for step in range(1, epochs + 1):
         theta = a + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        s = np.bincount(rows, weights=w[flat], minlength=n)
+        s = sum(np.bincount(rows[k], weights=w[flat[k]], minlength=n) for k in blocks)
         upper = np.concatenate([theta, [np.inf]])[grades]
         lower = np.concatenate([[-np.inf], theta])[grades]
         cu, cl = _logistic(upper - s), _logistic(lower - s)
@@ -131,7 +133,7 @@ def fit_ordinal(index: list[np.ndarray], grades: np.ndarray, levels: int, dimens
         du, dl = cu * (1 - cu), cl * (1 - cl)
         # Gradients of the mean negative log likelihood.
         ds = row_weight * (du - dl) / p
-        gw = np.bincount(flat, weights=ds[rows], minlength=len(used)) + l2 * w
+        gw = sum(np.bincount(flat[k], weights=ds[rows[k]], minlength=len(used)) for k in blocks) + l2 * w
         gt = np.zeros(levels)
         np.add.at(gt, grades, -row_weight * du / p)
         low = np.zeros(levels)
