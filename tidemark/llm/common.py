@@ -27,9 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def store_texts(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage with a table in the shared checkpoint folder, as the library's helper
-    does, but compressed with zstd: these tables hold texts and hashes."""
+    does, but compressed with zstd: for the tables that hold whole texts or all units."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

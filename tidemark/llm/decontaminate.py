@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import materialize, ship
+from tidemark.llm.common import ship, store_texts
+from tidemark.session import materialize
 
 ship(__name__)
 
@@ -237,7 +238,7 @@ def find_contamination(
 def clean_documents(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a copy of any item; all columns unchanged."""
     cols = docs.columns
-    stored = materialize(
+    stored = store_texts(
         docs.select(F.monotonically_increasing_id().alias("row_number"), F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row")),
         "numbered",
     )

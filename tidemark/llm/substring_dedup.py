@@ -15,7 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, ship
+from tidemark.llm.common import ship, store_texts
+from tidemark.session import materialize
 
 ship(__name__)
 
@@ -116,7 +117,7 @@ def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every
     most 1 / HOT_SHARE of them, are broadcast back to the units; the rest is joined by digest, so no task meets
     a hot group.
     """
-    units = materialize(cut_units(docs, cut_every), "units")
+    units = store_texts(cut_units(docs, cut_every), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("unit"))
     groups = units.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1")
     groups = materialize(groups.select(F.col("digest").alias("g"), "n", "first"), "repeated-units")
@@ -141,7 +142,7 @@ def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cols: list[str] | None = None) -> DataFrame:
     """docs as a stored table (rid, doc_id, text, row with the columns ``cols``): the row's number is fixed by writing it."""
     extra = [F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row")] if cols else []
-    return materialize(
+    return store_texts(
         docs.select(
             F.monotonically_increasing_id().alias("rid"),
             F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
