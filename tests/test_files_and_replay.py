@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import codec
 from tidemark.operators import validation as V
 from tidemark.plans import snapshot as S
-from tidemark.plans.replay import build_events, ordered_digest, slice_resume
+from tidemark.plans.replay import build_events, ordered_digest, plan_report, publish, slice_resume, verified_events
 from tidemark.sinks import archive as AR
 from tidemark.sinks import eventlog as EL
-from tidemark.sinks.files import write_canonical_csv
+from tidemark.sinks.files import file_content_digest, write_canonical_csv
 from tidemark.sources import files as SRC
 
 AAPL = [
@@ -154,6 +154,72 @@ def test_codec_round_trip_and_garbage(spark):
     assert reasons == [V.EV_BAD_TEXT, V.EV_NOT_DECODABLE]
 
 
+def test_encoding_equals_the_protobuf_library(spark):
+    names = [n for n, _, _ in codec.WIRE_FIELDS]
+    long = "x" * 127
+    rows = [
+        ("id", 1, "p", "S", "2024-01-02", "1", "2", "0.5", "1.5", 7, "USD", "s"),
+        ("", 0, None, "", None, "", "", "", "", None, "", ""),
+        (long, 127, long + "y", "é" * 70, "ü", "1", "2", "3", "4", 128, "$", "z" * 20_000),
+        ("a", (1 << 32) - 1, "b", "c", "d", "e", "f", "g", "h", (1 << 63) - 1, "i", "j"),
+        ("a", 128, "b", "c", "d", "e", "f", "g", "h", -1, "i", "j"),
+        ("a", 16_384, "b", "c", "d", "e", "f", "g", "h", -(1 << 63), "i", "j"),
+        ("a", None, "b", "c", "d", "e", "f", "g", "h", (1 << 53) + 1, "i", "j"),
+    ]
+    kinds = ", ".join(f"{n} {'string' if k == 'string' else 'long'}" for n, _, k in codec.WIRE_FIELDS)
+    got = codec.encode(spark.createDataFrame(rows, kinds)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        m = codec.message_class()()
+        for n in names:
+            if r[n] is not None:
+                setattr(m, n, r[n])
+        assert bytes(r["value"]) == m.SerializeToString(deterministic=True)
+    wide = spark.createDataFrame([rows[0][:1] + (1 << 32,) + rows[0][2:]], kinds)
+    with pytest.raises(Exception, match="unsigned 32-bit"):
+        codec.encode(wide).collect()
+
+
+def test_publish_goes_on_where_it_stopped(spark):
+    ev = six_events(spark)
+    root = scratch()
+    log, pos = f"{root}/log", f"{root}/pos"
+    first = ev.orderBy("trading_date", "symbol").limit(2)
+    publish(spark, first, log, pos, "m", "prices", 2)
+    publish(spark, ev, log, pos, "m", "prices", 2)
+    publish(spark, ev, log, pos, "m", "prices", 2)  # nothing is left
+    back = EL.read_event_log(spark, log).orderBy("partition", "offset").collect()
+    assert len(back) == 6
+    for p in {r.partition for r in back}:
+        assert [r.offset for r in back if r.partition == p] == list(range(sum(r.partition == p for r in back)))
+    dec = codec.decode(EL.read_event_log(spark, log).select("value"))
+    assert {r.event_id for r in dec.collect()} == {r.event_id for r in ev.collect()}
+    assert EL.read_replay_position(spark, pos, "m") == ev.orderBy("trading_date", "symbol").collect()[-1].event_id
+    with pytest.raises(ValueError, match="does not exist"):
+        publish(spark, ev.limit(0), log, pos, "m", "prices", 2)
+
+
+def test_replay_verifies_the_snapshot_first(spark):
+    rows = spark.createDataFrame(AAPL + SPY, ROWS)
+    folder = scratch() + "/snap"
+    write_canonical_csv(rows, folder)
+    manifest = file_content_digest(rows).withColumn("path", F.concat(F.lit("file="), F.col("symbol")))
+    ev = verified_events(spark, manifest, folder, 1, "synthetic-test-fixture", "fixture-v1")
+    assert ordered_digest(ev).first().ordered_event_sha256.startswith("619c7438d5135c31")
+    report = plan_report(ev).first()
+    assert (report.events, report.days) == (6, 3)
+    wrong = manifest.withColumn("sha256", F.lit("0" * 64))
+    with pytest.raises(S.SnapshotError, match="checksum mismatch"):
+        verified_events(spark, wrong, folder, 1, "p", "s")
+    # A file that matches its manifest but breaks the row contract is refused too.
+    broken = rows.withColumn("volume", F.lit(-1).cast("long"))
+    bad = scratch() + "/snap"
+    write_canonical_csv(broken, bad)
+    entries = file_content_digest(broken).withColumn("path", F.concat(F.lit("file="), F.col("symbol")))
+    with pytest.raises(S.SnapshotError, match="volume"):
+        verified_events(spark, entries, bad, 1, "p", "s")
+
+
 def test_archive_state_cases(spark):
     att = spark.createDataFrame(
         [("a", 1, False), ("a", 2, True), ("b", 1, False), ("c", 1, True), ("d", 1, False), ("d", 2, False)],

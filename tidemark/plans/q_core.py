@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as fn
+from tidemark.functions.codec import WIRE_FIELDS
 from tidemark.operators import validation as V
 from tidemark.plans import bindings as B
 from tidemark.plans.bindings import _event_id_sql, _object_key_sql, with_ctes
@@ -299,6 +300,22 @@ def log_value_sql() -> str:
     return f"encode({cols})"
 
 
+def wire_hex_sql(cols: dict[str, str]) -> str:
+    """SQL twin of the proto3 encoding as upper-case hex: ``cols`` gives each wire
+    field's SQL. Texts of up to 127 bytes and numbers from 0 up, as the bindings have."""
+    parts = []
+    for name, number, kind in WIRE_FIELDS:
+        x = cols[name]
+        if kind == "string":
+            parts.append(f"CASE WHEN {x} <> '' THEN '{number << 3 | 2:02X}' || lpad(hex(strlen({x})), 2, '0') || hex({x}) ELSE '' END")
+        else:
+            v = f"CAST({x} AS BIGINT)"
+            groups = f"""array_to_string([lpad(hex((({v} >> (7 * i)) & 127) + CASE WHEN ({v} >> (7 * i + 7)) > 0 THEN 128 ELSE 0 END), 2, '0')
+                         FOR i IN [0, 1, 2, 3, 4, 5, 6, 7] IF i = 0 OR ({v} >> (7 * i)) > 0], '')"""
+            parts.append(f"CASE WHEN {v} <> 0 THEN '{number << 3:02X}' || {groups} ELSE '' END")
+    return "(" + " || ".join(parts) + ")"
+
+
 def log_value():
     return F.concat_ws("|", *[F.col(c).cast("string") for c in B.WIRE_COLS]).cast("binary")
 
