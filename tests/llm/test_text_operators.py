@@ -258,6 +258,30 @@ def test_edited_copies_are_found(spark, odd_docs, empty_docs):
     assert decontaminate.clean_documents(odd_docs, tests.limit(0)).count() == odd_docs.count()
 
 
+def test_densely_edited_copies_are_found(spark, monkeypatch):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    items = [[word() for _ in range(r.randint(15, 59))] for _ in range(20)]
+    edits = [
+        *(lambda x, n=n: [word() if k % n == n - 1 else y for k, y in enumerate(x)] for n in (4, 5, 6)),
+        lambda x: [z for k, y in enumerate(x) for z in ([y, word()] if k % 2 else [y])],  # a word more after every second
+        lambda x: [word() if r.random() < 0.2 else y for y in x],
+    ]
+    docs = [(20 * e + i, [word() for _ in range(9)] + edit(x) + [word() for _ in range(9)]) for e, edit in enumerate(edits) for i, x in enumerate(items)]
+    want = set()
+    for d, w in docs:
+        for i, x in enumerate(items):
+            names = {y: k for k, y in enumerate(dict.fromkeys(x))}
+            score = brute_align([names.get(y, -1) for y in w], [names[y] for y in x])
+            want |= {(d, i)} if score >= decontaminate.MIN_SCORE * 2 * len(x) else set()
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id bigint, text string")
+    tests = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    for most in (decontaminate.BROADCAST_GRAMS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_GRAMS", most)
+        assert {(x.doc_id, x.item_id) for x in decontaminate.find_contamination(frame, tests).collect()} == want
+    assert {d // 20 for d, _ in want} == set(range(5))
+
+
 # -- SentencePiece -----------------------------------------------------------
 
 

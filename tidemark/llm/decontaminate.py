@@ -1,17 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds join training texts to test items,
+"""Benchmark decontamination: shared word pairs join training texts to test items,
 then Smith-Waterman alignment scores exact, edited and paraphrased copies.
 
-Seeds are the rarest word n-grams (by their count in the corpus) of every window of
-an item. So any stretch of window + n - 1 unedited words holds a seed, however frequent
-the passage is, while common n-grams serve only where a window has no rarer one.
+Every pair of neighbouring words of an item is a seed. An alignment of M matches in r runs scores
+at most 2 M - (r - 1) and covers M - r pairs, and M is at most the item's length L. So one that reaches
+the share s of 2 L covers at least (2 s - 1) L - 1 pairs, wherever its edits lie: pairs of a document
+and an item below that number are left out without losing a copy.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +23,12 @@ from tidemark.session import materialize
 
 ship(__name__)
 
-SEED_WORDS = 3
-SEED_WINDOW = 4
+SEED_WORDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of the item's own score from which a document counts as contaminated.
 MIN_SCORE = 0.6
 MEMO_WORDS = 500_000
-# Item n-grams are broadcast up to this many (16 bytes each); beyond it they are joined by shuffle.
+# Item n-grams are broadcast up to this many (32 bytes each); beyond it they are joined by shuffle.
 BROADCAST_GRAMS = 2_000_000
 # Candidate documents' keys are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
 BROADCAST_KEYS = 4_000_000
@@ -96,27 +98,72 @@ def _forward(doc: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _gram_table(df: DataFrame, key: str, n: int, ordered: bool) -> DataFrame:
-    """(key, grams): distinct n-grams of (key, text), or all in order."""
-    kind = df.schema[key].dataType
+def least_pairs(words: int, min_score: float) -> int:
+    """Word pairs of an item of so many words that any alignment reaching ``min_score`` covers, at least 1."""
+    return max(1, math.ceil((2 * min_score - 1) * words - 1 - 1e-9))
+
+
+def _item_grams(tests: DataFrame, min_score: float) -> DataFrame:
+    """(item, gram, places, need): an item's distinct word pairs, how often each is in it, and least_pairs of the item."""
+
+    def run(batches):
+        hasher = GramHasher()
+        for batch in batches:
+            for item, t in zip(batch.column("item").to_pylist(), batch.column("text")):
+                got = hasher(t.as_py())
+                gram, places = np.unique(got, return_counts=True)
+                n, need = len(gram), least_pairs(len(got) + SEED_WORDS - 1, min_score)
+                columns = [np.full(n, item), gram, places, np.full(n, need)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["item", "gram", "places", "need"])
+
+    return tests.select("item", "text").mapInArrow(run, "item bigint, gram bigint, places bigint, need bigint")
+
+
+def _gram_table(df: DataFrame) -> DataFrame:
+    """(digest, grams): distinct n-grams of (digest, text)."""
 
     def run(batches):
-        hasher = GramHasher(n)
+        hasher = GramHasher()
         for batch in batches:
-            got = [hasher(t.as_py()) for t in batch.column("text")]
-            if not ordered:
-                got = [np.unique(g) for g in got]
+            got = [np.unique(hasher(t.as_py())) for t in batch.column("text")]
             ends = np.cumsum([0] + [len(g) for g in got]).astype(np.int32)
             flat = np.concatenate(got) if got else np.empty(0, dtype=np.int64)
             grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(key), grams], names=[key, "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), grams], names=["digest", "grams"])
 
-    out = T.StructType([T.StructField(key, kind), T.StructField("grams", T.ArrayType(T.LongType()))])
-    return df.select(key, "text").mapInArrow(run, out)
+    return df.select("digest", "text").mapInArrow(run, "digest string, grams array<bigint>")
+
+
+def _sharing(base: DataFrame, grams: DataFrame) -> DataFrame:
+    """(digest, item): texts of base (digest, text) and items that share at least the needed word pairs."""
+    if grams.count() > BROADCAST_GRAMS:
+        shared = _gram_table(base).select("digest", F.explode("grams").alias("gram")).distinct().join(grams, "gram")
+        return shared.groupBy("digest", "item").agg(F.sum("places").alias("n"), F.max("need").alias("need")).filter("n >= need").select("digest", "item")
+    known = grams.toArrow().sort_by("gram")
+    gram, item, places, need = (known.column(c).to_numpy() for c in ("gram", "item", "places", "need"))
+
+    def run(batches):
+        hasher = GramHasher()
+        for batch in batches:
+            rows, items = [], []
+            for k, t in enumerate(batch.column("text")):
+                got = np.unique(hasher(t.as_py()))
+                first = np.searchsorted(gram, got)
+                n = np.searchsorted(gram, got, side="right") - first
+                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                which, one, of = np.unique(item[at], return_index=True, return_inverse=True)
+                enough = np.bincount(of, weights=places[at], minlength=len(which)) >= need[at[one]]
+                items.append(which[enough])
+                rows.append(np.full(len(items[-1]), k))
+            if rows:
+                digests = batch.column("digest").take(pa.array(np.concatenate(rows), pa.int64()))
+                yield pa.RecordBatch.from_arrays([digests, pa.array(np.concatenate(items), pa.int64())], names=["digest", "item"])
+
+    return base.select("digest", "text").mapInArrow(run, "digest string, item bigint").distinct()
 
 
 def find_contamination(
-    docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed_words: int = SEED_WORDS, seed_window: int = SEED_WINDOW,
+    docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
 ) -> DataFrame:
     """doc_id, item_id, score, start_word, end_word for each contaminated (document, item).
@@ -126,8 +173,8 @@ def find_contamination(
     row of docs is judged by itself, so repeated rows repeat. Null or empty texts, and items of fewer words
     than a seed, match nothing. Items with equal ids are judged apart and reported once with the best score.
 
-    One pass hashes the documents' n-grams and joins them with the items' n-grams; only matches
-    remain. They give the corpus counts and, for the seeds chosen by them, the candidates.
+    One pass hashes the documents' word pairs and looks them up among the items'; only documents and
+    items that share as many as a copy must share remain as candidates.
     Texts are met again by content digest, so copies of a text need one alignment per task.
     """
     text = F.col(f"`{text_col}`").cast("string")
@@ -138,35 +185,10 @@ def find_contamination(
         .withColumn("item", F.monotonically_increasing_id()),
         "items",
     )
-    grams = materialize(
-        _gram_table(tests, "item", seed_words, ordered=True).select("item", F.posexplode("grams").alias("place", "gram")), "item-grams"
-    )
-    known = grams.select("gram").distinct()
-    known = F.broadcast(known) if grams.count() <= BROADCAST_GRAMS else known
+    grams = materialize(_item_grams(tests, min_score), "item-grams")
     base = docs.select(digest.alias("digest"), text.alias("text"))
-    shared = materialize(
-        _gram_table(base, "digest", seed_words, ordered=False)
-        .select("digest", F.explode("grams").alias("gram"))
-        .join(known, "gram")
-        .groupBy("digest", "gram")
-        .agg(F.count("*").alias("n")),
-        "shared-grams",
-    )
-    counts = shared.groupBy("gram").agg(F.sum("n").alias("n"))
-    ranked = grams.join(counts, "gram", "left").select("item", "place", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("r"))
-    w = Window.partitionBy("item").orderBy("place")
-    window = ranked.select(
-        "item",
-        F.min("r").over(w.rowsBetween(0, seed_window - 1)).alias("r"),
-        "place",
-        F.max("place").over(Window.partitionBy("item")).alias("last"),
-    ).filter(F.col("place") <= F.greatest(F.lit(0), F.col("last") - (seed_window - 1)))
-    seeds = window.select("item", F.col("r.gram").alias("gram")).distinct()
     candidates = materialize(
-        shared.select("digest", "gram").join(seeds, "gram").select("digest", "item").distinct().join(
-            tests.select("item", "item_id", F.col("text").alias("item_text")), "item"
-        ),
-        "candidates",
+        _sharing(base, grams).join(tests.select("item", "item_id", F.col("text").alias("item_text")), "item"), "candidates"
     )
     texts = docs.select(
         F.struct(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("rid")).alias("doc"),
@@ -203,7 +225,8 @@ def find_contamination(
                     names: dict[bytes, int] = {}
                     b = np.array([names.setdefault(x, len(names)) for x in words_of(q.as_py())], dtype=np.int32)
                     a = np.array([names.get(x, -1) for x in doc_words], dtype=np.int32)
-                    score, start, end = align(a, b)
+                    # An alignment has matches for at least this share of the item's words.
+                    score, start, end = align(a, b) if np.isin(b, a).sum() >= min_score * len(b) - 1e-9 else (0, 0, 0)
                     got = (score / (MATCH * len(b)), start, end)
                     if len(memo) >= MEMO_WORDS:
                         memo.clear()
