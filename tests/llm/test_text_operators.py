@@ -209,6 +209,26 @@ def test_substring_dedup_matches_brute_force(spark, odd_docs, empty_docs):
     assert substring_dedup.remove_passages(empty_docs).count() == 0
 
 
+def test_passages_are_cut_out_to_their_last_word(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    cut, docs, want = substring_dedup.UnitCutter(), [], {}
+    for i in range(400):
+        passage = [word() for _ in range(r.choice([24, 35, 51, 60]))]
+        plain = [[word() for _ in range(30)] for _ in range(2)]
+        for k, w in enumerate(plain):
+            docs.append((2 * i + k, " ".join(w[:15]) + "  " + (" ".join(passage) if k else "\t".join(passage).upper()) + " " + " ".join(w[15:])))
+        # found if a unit lies within the passage in both texts
+        if len(cut(" ".join(["x", *passage, "x"]))[0]) > 3:
+            want[2 * i + 1] = (len(passage), " ".join(plain[1][:15]) + "  " + " ".join(plain[1][15:]))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {x.doc_id: x.words for x in substring_dedup.duplicate_passages(frame, extend=True).collect()}
+    assert len(want) > 300 and {d: got.get(d) for d in want} == {d: n for d, (n, _) in want.items()}
+    clean = {x.doc_id: x.text for x in substring_dedup.remove_passages(frame).collect()}
+    assert all(clean[d] == t for d, (_, t) in want.items())
+    assert all(clean[d] == t for d, t in docs if d % 2 == 0)
+
+
 # -- decontamination ---------------------------------------------------------
 
 

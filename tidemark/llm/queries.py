@@ -221,7 +221,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of all documents that repeat an earlier one, with original offsets."""
-    return substring_dedup.duplicate_passages(table(spark, sf_dir, "documents"))
+    return substring_dedup.duplicate_passages(table(spark, sf_dir, "documents"), extend=True)
 
 
 @_query("op7_simhash_components")

@@ -4,11 +4,15 @@ Texts are cut into units at line ends and, so that a passage pasted into another
 still falls into equal units, after each word whose hash, with the word before, hits a fixed
 residue. Units are normalised (A-Z as a-z, white space as one space) and hashed; equal
 digests are grouped over all documents, the earliest occurrence stays, and
-runs of later occurrences are removed, with their offsets in the original text.
+runs of later occurrences are removed, with their offsets in the original text. A passage loses
+what lies before its first and after its last cut to its surroundings, so runs are first extended at both
+ends, word by word, while they agree with the text of the kept occurrence.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,13 +26,19 @@ ship(__name__)
 
 # One word in eight ends a unit inside a line.
 CUT_EVERY = 8
-# The shortest run of repeated units, in words, that is removed. A repeated passage loses at most a
-# unit at each end to its surroundings, so passages of 50 words keep runs well above it.
+# The shortest run of repeated units, in words and after its extension, that is removed.
 MIN_RUN_WORDS = 20
 MEMO_WORDS = 500_000
 # A digest with this share of all units counts as hot; at most 1 / share digests can be.
 HOT_SHARE = 1e-3
 
+# Units at either side of a run into which it is extended. The first word of a passage may end a unit in one place
+# and not in the other, so a passage can reach over a whole unit into the next.
+SIDE_UNITS = 2
+# Keys of texts to extend are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
+BROADCAST_KEYS = 4_000_000
+
+_WORD = re.compile(r"[^\x09-\x0d\x20]+")
 _WHITE = np.zeros(33, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -80,12 +90,21 @@ class UnitCutter:
 
 
 def cut_units(docs: DataFrame, cut_every: int = CUT_EVERY) -> DataFrame:
-    """(rid, doc_id, unit, start, stop, words, digest) per unit of docs (rid, doc_id, text)."""
+    """(rid, doc_id, unit, start, stop, words, digest) per unit of docs (rid, doc_id, text), with the number
+    of words before it (at) and, SIDE_UNITS units before and after it, where texts and words start and stop (lo, hi, at_lo, at_hi)."""
+
+    def around(start, stop, words):
+        k = np.arange(len(start))
+        back, on = np.maximum(k - SIDE_UNITS, 0), np.minimum(k + SIDE_UNITS, len(k) - 1)
+        until = np.cumsum(words)
+        at = until - words
+        return start[back], stop[on], at, at[back], until[on]
 
     def run(batches):
         cutter = UnitCutter(cut_every)
         for batch in batches:
             got = [cutter(t.as_py()) for t in batch.column("text")]
+            got = [g + around(*g[:3]) for g in got]
             counts = np.array([len(g[0]) for g in got])
             for a in range(0, len(got), 512):  # bounded output batches
                 part, n = got[a : a + 512], counts[a : a + 512]
@@ -97,28 +116,124 @@ def cut_units(docs: DataFrame, cut_every: int = CUT_EVERY) -> DataFrame:
                         pa.array(np.concatenate([np.arange(k) for k in n]).astype(np.int32)),
                         *(pa.array(np.concatenate([g[i] for g in part]).astype(np.int32)) for i in range(3)),
                         pa.array(np.concatenate([g[3] for g in part]).astype(np.int64)),
+                        *(pa.array(np.concatenate([g[i] for g in part]).astype(np.int32)) for i in range(4, 9)),
                     ],
-                    names=["rid", "doc_id", "unit", "start", "stop", "words", "digest"],
+                    names=["rid", "doc_id", "unit", "start", "stop", "words", "digest", "lo", "hi", "at", "at_lo", "at_hi"],
                 )
 
     return docs.select("rid", "doc_id", "text").mapInArrow(
-        run, "rid bigint, doc_id bigint, unit int, start int, stop int, words int, digest bigint"
+        run, "rid bigint, doc_id bigint, unit int, start int, stop int, words int, digest bigint, lo int, hi int, at int, at_lo int, at_hi int"
+    )
+
+
+def _agreement(batches):
+    """Per seed the words and the place of the agreement with the kept text beyond the run's start and stop."""
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            at, text = r["start"] - r["lo"], r["context"]
+            spans = [m.span() for m in _WORD.finditer(text)]
+            words = [text[a:b].encode("utf-8", "surrogatepass").lower() for a, b in spans]
+            n = sum(a < at for a, _ in spans)
+            left = r["kept"][: r["k_start"]].encode("utf-8", "surrogatepass").lower().rsplit(None, n + 1)[::-1]
+            right = r["kept"][r["k_start"] :].encode("utf-8", "surrogatepass").lower().split(None, len(words) - n)
+            first, last = n, n
+            while first and n - first < len(left) and words[first - 1] == left[n - first]:
+                first -= 1
+            while last < len(words) and last - n < len(right) and words[last] == right[last - n]:
+                last += 1
+            more = sum(a + r["lo"] < r["run_start"] for a, _ in spans[first:last])
+            beyond = sum(a + r["lo"] >= r["run_stop"] for a, _ in spans[first:last])
+            new_start = min([r["run_start"], *(a + r["lo"] for a, _ in spans[first : first + 1])])
+            new_stop = max([r["run_stop"], *(b + r["lo"] for _, b in spans[first:last][-1:])])
+            rows.append((r["rid"], r["run"], more, beyond, new_start, new_stop))
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["rid", "run", "more", "beyond", "new_start", "new_stop"])
+
+
+def _extended(docs: DataFrame, later: DataFrame, min_run_words: int) -> DataFrame:
+    """The runs of ``later`` (units with their run and first occurrence), extended at both ends.
+
+    Units of a run whose earliest occurrences follow each other as well are one seed. From each seed the words of
+    the run and of SIDE_UNITS units at its sides are compared with the kept text. Runs too short even with all of
+    those units are left out before. Extended runs that overlap or touch are one.
+    """
+    shift = F.col("unit") - F.col("first.unit")
+    same = Window.partitionBy("rid", "first.rid", shift).orderBy("unit")
+    seeds = later.withColumn("part", F.col("unit") - F.row_number().over(same)).groupBy("rid", "doc_id", "run", F.col("first.rid").alias("k_rid"), shift.alias("shift"), "part").agg(
+        F.min("unit").alias("unit"),
+        F.max("unit").alias("last"),
+        F.min("start").alias("start"),
+        F.max("stop").alias("stop"),
+        F.sum("words").alias("words"),
+        F.min_by(F.struct("lo", "at", "at_lo", F.col("first.start").alias("k_start"), F.col("first.doc_id").alias("kept_doc_id")), F.col("unit")).alias("l"),
+        F.max_by(F.struct("hi", "at_hi"), F.col("unit")).alias("r"),
+    )
+    runs = seeds.groupBy("rid", "doc_id", "run").agg(
+        F.min("unit").alias("unit"),
+        F.max("last").alias("last"),
+        F.min("start").alias("run_start"),
+        F.max("stop").alias("run_stop"),
+        F.sum("words").alias("words"),
+        F.min_by("l", "unit").alias("l"),
+        F.max_by("r", "last").alias("r"),
+        F.collect_list(F.struct("k_rid", "start", F.col("l.k_start").alias("k_start"))).alias("seeds"),
+    )
+    runs = materialize(runs.filter(F.col("r.at_hi") - F.col("l.at_lo") >= min_run_words), "runs")
+    # A run from the first to the last unit of its text has nothing to extend into.
+    asked = runs.filter("l.at_lo < l.at OR r.at_hi > l.at + words").select(
+        "rid", "run", "run_start", "run_stop", F.col("l.lo").alias("lo"), F.col("r.hi").alias("hi"), F.explode("seeds").alias("s")
+    ).select("rid", "run", "run_start", "run_stop", "lo", "hi", "s.*")
+
+    def needed(keys, name):
+        texts = docs.select(F.col("rid").alias(name), "text")
+        keys = keys.select(name).distinct()
+        return texts.join(F.broadcast(keys), name, "left_semi") if keys.count() <= BROADCAST_KEYS else texts
+
+    context = F.substring(F.col("text"), F.col("lo") + 1, F.col("hi") - F.col("lo")).alias("context")
+    own = asked.join(needed(asked, "rid"), "rid").select(*asked.columns, context)
+    both = own.join(needed(asked, "k_rid").withColumnRenamed("text", "kept"), "k_rid")
+    both = both.select("rid", "run", "run_start", "run_stop", "lo", "start", "k_start", "context", "kept")
+    found = both.mapInArrow(_agreement, "rid bigint, run bigint, more int, beyond int, new_start int, new_stop int")
+    found = found.groupBy("rid", "run").agg(
+        F.max("more").alias("more"), F.max("beyond").alias("beyond"), F.min("new_start").alias("new_start"), F.max("new_stop").alias("new_stop")
+    )
+    full = (
+        runs.select("rid", "doc_id", F.col("run").cast("bigint").alias("run"), "unit", "run_start", "run_stop", "words", "l.at", "l.kept_doc_id")
+        .join(found, ["rid", "run"], "left")
+        .select(
+            "rid", "doc_id", "unit", "kept_doc_id",
+            F.coalesce("new_start", "run_start").alias("start"),
+            F.coalesce("new_stop", "run_stop").alias("stop"),
+            (F.col("at") - F.coalesce("more", F.lit(0))).alias("first"),
+            (F.col("at") + F.col("words") + F.coalesce("beyond", F.lit(0))).alias("until"),
+        )
+    )
+    per_doc = Window.partitionBy("rid").orderBy("first", "unit")
+    apart = F.coalesce(F.max("until").over(per_doc.rowsBetween(Window.unboundedPreceding, -1)) < F.col("first"), F.lit(True))
+    joined = full.withColumn("apart", apart).withColumn("group", F.sum(F.col("apart").cast("int")).over(per_doc)).groupBy("rid", "doc_id", "group").agg(
+        F.min("start").alias("start"),
+        F.max("stop").alias("stop"),
+        (F.max("until") - F.min("first")).alias("words"),
+        F.min_by("kept_doc_id", "unit").alias("kept_doc_id"),
     )
+    return joined.filter(F.col("words") >= min_run_words).drop("group")
 
 
-def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every: int = CUT_EVERY) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every: int = CUT_EVERY, extend: bool = True) -> DataFrame:
     """(rid, doc_id, start, stop, words, kept_doc_id): runs to remove from docs (rid, doc_id, text).
 
     ``kept_doc_id`` is the document of the earliest occurrence of the run's first unit. The rank of an occurrence
     is (doc_id, rid, place in the text), null ids last. Consecutive repeated units form a run,
-    and runs of at least ``min_run_words`` words go.
+    and runs of at least ``min_run_words`` words go, counted after the extension if ``extend``.
 
     The earliest occurrences come from a grouping that reduces on the map side. Hot digests, at
     most 1 / HOT_SHARE of them, are broadcast back to the units; the rest is joined by digest, so no task meets
     a hot group.
     """
     units = store_texts(cut_units(docs, cut_every), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("unit"))
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("unit"), F.col("start"))
     groups = units.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1")
     groups = materialize(groups.select(F.col("digest").alias("g"), "n", "first"), "repeated-units")
     bound = max(1, int(units.count() * HOT_SHARE))
@@ -130,7 +245,10 @@ def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every
     )
     later = found.filter(F.struct(F.col("rid"), F.col("unit")) != F.struct(F.col("first.rid"), F.col("first.unit")))
     per_doc = Window.partitionBy("rid").orderBy("unit")
-    runs = later.withColumn("run", F.col("unit") - F.row_number().over(per_doc)).groupBy("rid", "doc_id", "run").agg(
+    later = later.withColumn("run", F.col("unit") - F.row_number().over(per_doc))
+    if extend:
+        return _extended(docs, later, min_run_words)
+    runs = later.groupBy("rid", "doc_id", "run").agg(
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
         F.sum("words").alias("words"),
@@ -153,13 +271,14 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     )
 
 
-def duplicate_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col: str = "doc_id", text_col: str = "text", extend: bool = False) -> DataFrame:
     """doc_id, start, stop, words, kept_doc_id: every passage that repeats an earlier one.
 
+    Without ``extend`` passages are whole units only; op4_substring_dedup and remove_passages extend them.
     Offsets count code points of the original text, stop exclusive. Documents without such a
     passage, null and empty texts give no row; of rows that repeat as a whole all but the first do.
     """
-    runs = repeated_runs(numbered(docs, id_col, text_col), min_run_words)
+    runs = repeated_runs(numbered(docs, id_col, text_col), min_run_words, extend=extend)
     return runs.select("doc_id", "start", "stop", F.col("words").cast("bigint").alias("words"), "kept_doc_id")
 
 
