@@ -1,4 +1,4 @@
-"""The queries of the ten operators: thin bindings of each operator to its
+"""The queries of the operators: thin bindings of each operator to its
 table, with production parameters, and their SQL twins where SQL has one."""
 
 from __future__ import annotations
@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, url_filter
+from tidemark.llm import chat, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, url_filter
 from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -248,3 +249,16 @@ def op8(spark: SparkSession, sf_dir: str, model: str = sentencepiece_codec.MODEL
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word baseline and PPM log10 probability of all documents."""
     return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
+TOKEN_LIMIT = 512
+
+
+@_query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, cache: str | None = None) -> DataFrame:
+    """Token counts of all documents. Unless a cache folder is given it starts empty, so every distinct text is encoded."""
+    import public_tokenizers
+
+    counter = token_counts.Tokenizer(tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), counter, cache or scratch_path(spark, "token-cache"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
