@@ -3,12 +3,13 @@ table, with production parameters, and their SQL twins where SQL has one."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, url_filter
+from tidemark.llm import chat, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, url_filter, va_cluster
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -262,3 +263,45 @@ def op13(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, cache:
     counter = token_counts.Tokenizer(tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), counter, cache or scratch_path(spark, "token-cache"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+CLUSTERS, ROUNDS = 16, 3
+
+
+def _cluster_sql() -> str:
+    """Every vector against every centroid, round by round."""
+    steps = [
+        f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v,
+         sha256('1:' || COALESCE(vec_id::VARCHAR, '')) AS h
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT h, v FROM v ORDER BY h, v LIMIT {CLUSTERS})
+)"""
+    ]
+    for r in range(ROUNDS + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, min(struct_pack(d := list_sum([(v.v[i] - c{r}.v[i]) * (v.v[i] - c{r}.v[i]) FOR i IN range(1, 65)])::BIGINT, c := c)) AS b
+  FROM v, c{r} GROUP BY rid
+)""")
+        if r < ROUNDS:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, COALESCE(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+    SELECT c, list(x ORDER BY i) AS v FROM (
+      SELECT c, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+      FROM (SELECT b.c AS c, unnest(v.v) AS x, unnest(range(64)) AS i FROM a{r} JOIN v USING (rid)) GROUP BY c, i) GROUP BY c) m USING (c)
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT vec_id, b.c::INT AS cluster, b.d AS distance, sum(b.d) OVER (PARTITION BY b.c)::BIGINT AS cluster_inertia,
+       sum(b.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{ROUNDS}.v, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN v USING (rid) JOIN c{ROUNDS} ON c{ROUNDS}.c = b.c
+"""
+
+
+@_query("op11_va_clusters", _cluster_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of all kept vectors."""
+    rows, centroids = va_cluster.cluster_vectors(table(spark, sf_dir, "embeddings"), k=CLUSTERS, rounds=ROUNDS)
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return rows.withColumn("centroid_sha256", F.array(*map(F.lit, digests))[F.col("cluster")] if digests else F.lit(""))
