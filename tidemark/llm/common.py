@@ -30,11 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def store_texts(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage with a table in the shared checkpoint folder, as the library's helper
     does, but compressed with zstd: for the tables that hold whole texts or all units."""
-    path = scratch_path(df.sparkSession, name)
+    return store_at(df, scratch_path(df.sparkSession, name))
+
+
+def store_at(df: DataFrame, path: str) -> DataFrame:
+    """``store_texts`` at a path that its last reader hands to ``discard``."""
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table whose every reader has been written itself."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text`` (empty for an empty text)."""
     return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, url_filter, va_cluster
+from tidemark.llm import chat, chat_repair, decontaminate, ordinal, ppm, quality_rules, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, url_filter, va_cluster
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -305,3 +305,34 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, centroids = va_cluster.cluster_vectors(table(spark, sf_dir, "embeddings"), k=CLUSTERS, rounds=ROUNDS)
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
     return rows.withColumn("centroid_sha256", F.array(*map(F.lit, digests))[F.col("cluster")] if digests else F.lit(""))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """conversations with the contract's damage, by the checksum of conv_id and turn; nulls are one space."""
+    space = F.lit(" ")
+    of = lambda c: F.coalesce(F.col(c).cast("string"), space)
+    kind = F.crc32(F.encode(F.concat(of("conv_id"), F.lit(":"), of("turn")), "UTF-8")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(of("text"), "[.!?]", "")).otherwise(of("text"))
+    copies = F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (
+        turns.withColumn("kind", kind)
+        .filter("kind <> 0")
+        .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(of("role")).alias("role"), text.alias("text"), F.explode(copies).alias("copy"))
+        .drop("copy")
+    )
+
+
+@_query("op12_chat_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost, audit and repaired digest of every conversation after the damage."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    reports = chat_repair.conversation_reports(chat_repair.repair_blocks(damaged(turns)))
+    ids = turns.select(F.col("conv_id").cast("bigint").alias("id")).distinct()
+    empty = {"audit": F.lit(""), "repaired_sha256": F.lit(hashlib.sha256(b"").hexdigest())}
+    return ids.join(reports, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"),
+        *(
+            F.coalesce(F.col(c), empty.get(c, F.lit(0).cast("bigint"))).alias(c)
+            for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+        ),
+    )
