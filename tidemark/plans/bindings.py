@@ -479,5 +479,7 @@ def with_ctes(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    ctes = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    # The numbered log is a sort by all columns and is read several times.
+    kept = ("log0", "log_redelivered")
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in kept else ''}({CTES[n]})" for n in order)
     return f"WITH {ctes}\n{body}"
