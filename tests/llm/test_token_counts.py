@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 
 import public_tokenizers as P
@@ -19,6 +20,7 @@ from tidemark.llm.token_counts import Tokenizer
 SF = "/root/testdata/sf0.001"
 
 
+@functools.cache
 def library_count(name):
     if name.endswith(".json"):
         lib = Library.from_file(P.path(name))
@@ -48,7 +50,7 @@ def test_query_over_documents(spark):
     assert any(r.over_limit for r in rows) and not all(r.over_limit for r in rows)
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=1000, deadline=None)
 @given(st.text(st.sampled_from(list("abZé'sd19 .\n\t <|>中")), max_size=80), st.integers(1, 20))
 def test_parts_add_up(text, size):
     tok, count = _byte_level()

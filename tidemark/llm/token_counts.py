@@ -33,8 +33,13 @@ ship(__name__)
 GROUP_CHARS = 1_000_000
 # While so few contents miss the cache, and less than half of all, their 8-byte keys are broadcast to leave other texts out of the shuffle.
 BROADCAST_KEYS = 1_000_000
-# Between an ASCII letter and a space or newline the byte-level pattern always ends a word.
+# The byte-level pattern takes white space into a word at its front only, so before a run of white space a word always ends
+# and the runs' counts add up. White space other than these four may lie within a longer run of its own: such texts stay whole.
+CHUNKS = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 SAFE_CUT = re.compile(r"[A-Za-z](?=[ \n])")
+# Counts of words that a task keeps; beyond it the memory starts anew.
+MEMO_WORDS = 400_000
 
 
 class Tokenizer:
@@ -79,7 +84,28 @@ class Tokenizer:
         lib = Library.from_str(self.data.decode("utf-8"))
         lib.no_truncation()
         lib.no_padding()
-        return lambda texts: [len(e) for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
+        encode = lambda texts: [len(e) for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return self._by_words(encode) if self.cuttable else encode
+
+    @staticmethod
+    def _by_words(encode):
+        """``encode`` for texts, but asked once for every distinct word with the white space before it."""
+        memo: dict[str, int] = {}
+
+        def run(texts: list[str]) -> list[int]:
+            whole = [OTHER_SPACE.search(t) is not None for t in texts]
+            words = [[t] if w else CHUNKS.findall(t) for t, w in zip(texts, whole)]
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            new = list(set().union(*words) - memo.keys())
+            memo.update(zip(new, encode(new)))
+            out = [sum(map(memo.__getitem__, ws)) for ws in words]
+            for w in new:
+                if len(w) > 100:  # whole texts and the like are not kept
+                    del memo[w]
+            return out
+
+        return run
 
     def parts(self, text: str, size: int = GROUP_CHARS) -> list[str]:
         """The text in parts of about ``size`` characters whose counts add up to the whole's; whole where no cut is exact."""
