@@ -3,8 +3,10 @@ checkpoint folder, and a broadcast that is only taken behind a size check."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +82,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table in the shared
     checkpoint folder and reading it back.
@@ -90,9 +106,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
     return df.sparkSession.read.parquet(path)
 
 
+_scopes = threading.local()
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that ``materialize`` writes inside, on this thread, are removed at the end: for jobs whose results are all
+    on storage by then, such as one micro-batch of a stream that runs for months."""
+    stack = _scopes.__dict__.setdefault("open", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            remove(spark, path)
+
+
 def guarded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
