@@ -222,8 +222,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of all documents that repeat an earlier one, with original offsets."""
-    return substring_dedup.duplicate_passages(table(spark, sf_dir, "documents"), extend=True)
+    """Passages and lines of all documents that repeat an earlier one, with original offsets."""
+    return substring_dedup.duplicate_passages(table(spark, sf_dir, "documents"))
 
 
 @_query("op7_simhash_components")
@@ -322,7 +322,87 @@ def damaged(turns: DataFrame) -> DataFrame:
     )
 
 
-@_query("op12_chat_repair")
+# The damage, the faults, then two walks over each conversation's turns: costs from the end, edits from the start. States are 1 to 4:
+# nothing yet, after s, after u, after a; nxt is the state behind the role that fits.
+REPAIR_SQL = """
+WITH RECURSIVE tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::UBIGINT, [0::UBIGINT FOR _ IN range(8)]),
+      lambda c, x: CASE WHEN (c & 1) = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))
+), src AS (
+  SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+         hex(encode(COALESCE(conv_id::VARCHAR, ' ') || ':' || COALESCE(turn::VARCHAR, ' '))) AS h
+  FROM conversations
+), sums AS (
+  SELECT h, xor(list_reduce(list_prepend(4294967295::UBIGINT, [('0x' || substr(h, 2 * p + 1, 2))::UBIGINT FOR p IN range(length(h) // 2)]),
+      lambda c, x: xor(t[(xor(c, x) & 255)::BIGINT + 1], c >> 8)), 4294967295::UBIGINT)::BIGINT % 20 AS kind
+  FROM (SELECT DISTINCT h FROM src), tab
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM src JOIN sums USING (h) WHERE kind <> 0
+), placed AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ink
+  FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN ink = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(ink, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), turns AS MATERIALIZED (
+  SELECT *, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::BIGINT AS late,
+         CASE left(role, 1) WHEN 's' THEN [2, 0, 0, 0] WHEN 'u' THEN [3, 3, 0, 3] WHEN 'a' THEN [0, 0, 4, 0] ELSE [0, 0, 0, 0] END AS keep,
+         lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS ill
+  FROM judged
+), back AS (
+  SELECT c, max(i) + 1 AS i, [0, 4, 2, 0]::BIGINT[] AS f FROM turns GROUP BY c
+  UNION ALL
+  SELECT c, i, [least(g[1], 2 + g[3], 4 + g[4]), least(g[2], 2 + g[3], 4 + g[4]), least(g[3], 2 + g[4]), least(g[4], 2 + g[3])]
+  FROM (
+    SELECT t.c, t.i, [least(3 + f[q], CASE WHEN gone THEN 99 ELSE 2 + late + f[[3, 3, 4, 3][q]] END + CASE WHEN gone THEN f[q] ELSE 0 END,
+                            CASE WHEN gone OR keep[q] = 0 THEN 99 + f[q] ELSE late + f[keep[q]] END) FOR q IN [1, 2, 3, 4]] AS g
+    FROM back b JOIN turns t ON t.c = b.c AND t.i = b.i - 1)
+), costs AS MATERIALIZED (
+  SELECT c, i, f, lead(f) OVER (PARTITION BY c ORDER BY i) AS behind FROM back
+), walk AS (
+  SELECT DISTINCT c, 0 AS step, 1::BIGINT AS i, 1 AS q, '' AS e, 0::BIGINT AS at, 1 AS was FROM costs
+  UNION ALL
+  SELECT c, step + 1, i + (e <> 'I')::BIGINT, CASE e WHEN 'D' THEN q WHEN 'K' THEN keep[q] ELSE [3, 3, 4, 3][q] END, e, i, q
+  FROM (
+    SELECT w.c, w.step, w.i, w.q, t.keep,
+      CASE WHEN behind IS NOT NULL AND f[q] = 3 + behind[q] THEN 'D'
+           WHEN f[q] = 2 + f[[3, 3, 4, 3][q]] THEN 'I'
+           WHEN behind IS NULL THEN ''
+           WHEN keep[q] <> 0 AND f[q] = late + behind[keep[q]] THEN 'K'
+           ELSE 'R' END AS e
+    FROM walk w JOIN costs k ON k.c = w.c AND k.i = w.i LEFT JOIN turns t ON t.c = w.c AND t.i = w.i)
+  WHERE e <> ''
+), edits AS (
+  SELECT w.c, string_agg(e, '' ORDER BY step) AS audit,
+         string_agg(CASE e WHEN 'K' THEN t.role || ':' || t.text
+                           WHEN 'R' THEN [NULL, NULL, 'user', 'assistant'][w.q] || ':' || t.text
+                           ELSE [NULL, NULL, 'user', 'assistant'][w.q] || ':' END, chr(10) ORDER BY step) FILTER (WHERE e <> 'D') AS repaired
+  FROM walk w LEFT JOIN turns t ON t.c = w.c AND t.i = w.at WHERE step > 0 GROUP BY w.c
+), figures AS (
+  SELECT c, any_value(conv_id) AS conv_id, COALESCE(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE ill) AS illegal
+  FROM turns GROUP BY c
+), reports AS (
+  SELECT f.*, k.f[1] AS cost, e.audit, sha256(COALESCE(e.repaired, '')) AS repaired_sha256
+  FROM figures f JOIN costs k ON k.c = f.c AND k.i = 1 JOIN edits e ON e.c = f.c
+)
+SELECT ids.conv_id, COALESCE(gaps, 0)::BIGINT AS gaps, COALESCE(blank, 0)::BIGINT AS blank, COALESCE(duplicate, 0)::BIGINT AS duplicate,
+       COALESCE(truncated, 0)::BIGINT AS truncated, COALESCE(illegal, 0)::BIGINT AS illegal, COALESCE(cost, 0)::BIGINT AS cost,
+       COALESCE(audit, '') AS audit, COALESCE(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN reports r ON r.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
+@_query("op12_chat_repair", REPAIR_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cost, audit and repaired digest of every conversation after the damage."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -1,260 +1,320 @@
 """Substring dedup by line hashing.
 
-Texts are cut into units at line ends and, so that a passage pasted into another line
-still falls into equal units, after each word whose hash, with the word before, hits a fixed
-residue. Units are normalised (A-Z as a-z, white space as one space) and hashed; equal
-digests are grouped over all documents, the earliest occurrence stays, and
-runs of later occurrences are removed, with their offsets in the original text. A passage loses
-what lies before its first and after its last cut to its surroundings, so runs are first extended at both
-ends, word by word, while they agree with the text of the kept occurrence.
+Texts are cut into units and the units hashed: equal digests are grouped over all documents, the earliest
+occurrence stays, and later ones are removed, with their offsets in the original text. Words are compared with A-Z as a-z and any
+white space between them. There are two kinds of units:
+
+* every line of at least MIN_LINE_WORDS words: a later occurrence goes as a whole;
+* windows of WINDOW_WORDS words, for passages that lie anywhere in a line or across lines. Of every PICK neighbouring windows the one
+  with the smallest digest is a unit (PICK = MIN_RUN_WORDS - WINDOW_WORDS + 1), so two texts that share MIN_RUN_WORDS words share a window, wherever these words lie.
+  A run of later windows is extended word by word, PICK - 1 words to either side, while its end agrees with the earliest occurrence
+  of its outermost window. What such passages cover goes where it is at least MIN_RUN_WORDS words long.
+
+Later windows that touch, or that follow each other in the earliest occurrence as well with the same words between, are one
+run, so only runs' ends are compared word by word, and only a few words around them leave the texts.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship, store_texts
-from tidemark.session import materialize
+from tidemark.llm.common import discard, ship, store_at, store_texts
+from tidemark.session import materialize, scratch_path
 
 ship(__name__)
 
-# One word in eight ends a unit inside a line.
-CUT_EVERY = 8
-# The shortest run of repeated units, in words and after its extension, that is removed.
+# The shortest passage that is removed, in words, and the shortest line.
 MIN_RUN_WORDS = 20
+MIN_LINE_WORDS = 5
+WINDOW_WORDS = 8
 MEMO_WORDS = 500_000
 # A digest with this share of all units counts as hot; at most 1 / share digests can be.
 HOT_SHARE = 1e-3
+# Keys of texts to look into are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
+BROADCAST_KEYS = 1_000_000
 
-# Units at either side of a run into which it is extended. The first word of a passage may end a unit in one place
-# and not in the other, so a passage can reach over a whole unit into the next.
-SIDE_UNITS = 2
-# Keys of texts to extend are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
-BROADCAST_KEYS = 4_000_000
-
-_WORD = re.compile(r"[^\x09-\x0d\x20]+")
 _WHITE = np.zeros(33, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+_LINE = np.uint64(0xD6E8FEB86659FD93)
 
 
-class UnitCutter:
-    """Cuts texts into units: start, end (code points, end exclusive), words and digest of each."""
+class Words:
+    """The words of texts: 64-bit hashes and where each starts and stops (code points, stop exclusive)."""
 
-    def __init__(self, cut_every: int = CUT_EVERY):
-        self.cut_every = np.uint64(cut_every)
+    def __init__(self):
         self.memo: dict[bytes, int] = {}
 
-    def _hash(self, word: bytes) -> int:
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            got = self.memo[word] = xxhash.xxh64_intdigest(word)
-        return got
+    @staticmethod
+    def split(text: str | None) -> list[bytes]:
+        return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        memo = self.memo
+        if len(memo) >= MEMO_WORDS:
+            memo.clear()
+        got = list(map(memo.get, words))
+        if None in got:
+            for i, w in enumerate(words):
+                if got[i] is None:
+                    got[i] = memo[w] = xxhash.xxh64_intdigest(w)
+        return np.array(got, dtype=np.uint64)
+
+    @staticmethod
+    def places(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and stops of the words, and the code points."""
+        points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        white = (points <= 32) & _WHITE[np.minimum(points, 32)]
+        edges = np.diff(np.concatenate([[True], white, [True]]).astype(np.int8))
+        return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1), points
+
+
+def _smallest(values: np.ndarray, among: int) -> np.ndarray:
+    """Places of the smallest value (the first of equal ones) of every ``among`` neighbours; of all, if there are fewer."""
+    m = len(values)
+    if m <= among:
+        return np.array([int(values.argmin())] if m else [], dtype=np.int64)
+    n = m - among + 1
+    best, at = values[:n].copy(), np.zeros(n, dtype=np.int64)
+    for j in range(1, among):
+        here = values[j : j + n]
+        less = here < best
+        best[less], at[less] = here[less], j
+    return np.unique(at + np.arange(n))
+
+
+class UnitCutter:
+    """Units of a text: first word, number of words, digest, digest of the words since the unit before (windows only), whether a line."""
+
+    def __init__(self, min_run_words: int = MIN_RUN_WORDS, min_line_words: int = MIN_LINE_WORDS):
+        self.pick, self.min_line_words = min_run_words - WINDOW_WORDS + 1, min_line_words
+        self.words = Words()
+        self.power = self.back = np.empty(0, dtype=np.uint64)
 
     def __call__(self, text: str | None):
-        ws = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not ws:
+        h = self.words.hashes(self.words.split(text))
+        n = len(h)
+        if not n:
             none = np.empty(0, dtype=np.int64)
-            return none, none, none, none
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        white = (points <= 32) & _WHITE[np.minimum(points, 32)]
-        edges = np.diff(np.concatenate([[True], white, [True]]).astype(np.int8))
-        starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-        h = np.array([self._hash(w) for w in ws], dtype=np.uint64)
-        # A unit ends with the last word of a line and after words with the residue.
-        lines = np.concatenate([[0], np.cumsum(points == 10)])
-        last = np.ones(len(ws), dtype=bool)
-        last[:-1] = lines[starts[1:]] != lines[ends[:-1]]
-        before = np.concatenate([[np.uint64(0)], h[:-1]])
-        mixed = (h * np.uint64(31) + before) >> np.uint64(33)
-        fresh = np.concatenate([[True], last[:-1]])  # the pair rule does not look across a line end
-        last |= (mixed % self.cut_every == 0) & ~fresh
-        stop = np.flatnonzero(last)
-        first = np.concatenate([[0], stop[:-1] + 1])
-        power = np.full(len(ws), _MULTIPLIER, dtype=np.uint64).cumprod()
+            return none, none, none, none, none.astype(bool)
+        if len(self.power) < n:
+            self.power = np.full(2 * n, _MULTIPLIER, dtype=np.uint64).cumprod()
+            self.back = np.full(2 * n, _INVERSE, dtype=np.uint64).cumprod()
+        power, back = self.power[:n], self.back[:n]
         sums = np.concatenate([[np.uint64(0)], (h * power).cumsum()])
-        back = np.full(len(ws), _INVERSE, dtype=np.uint64).cumprod()
-        size = (stop - first + 1).astype(np.uint64)
-        digest = (sums[stop + 1] - sums[first]) * back[first] + size * np.uint64(0xD6E8FEB86659FD93)
-        digest ^= digest >> np.uint64(32)
-        return starts[first], ends[stop], stop - first + 1, digest.view(np.int64)
 
+        def digest(a, b):
+            d = (sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64) * _LINE
+            d ^= d >> np.uint64(32)
+            d *= np.uint64(_MULTIPLIER)
+            return d ^ d >> np.uint64(29)
+
+        a = np.arange(max(n - WINDOW_WORDS + 1, 0))
+        windows = digest(a, a + WINDOW_WORDS)
+        pos = _smallest(windows, self.pick)
+        gap = np.zeros(len(pos), dtype=np.uint64)
+        gap[1:] = digest(pos[:-1], pos[1:])
+        # lines
+        starts, ends, points = self.words.places(text)
+        breaks = np.concatenate([[0], np.cumsum(points == 10)])
+        stop = np.concatenate([np.flatnonzero(breaks[starts[1:]] != breaks[ends[:-1]]) + 1, [n]])
+        first = np.concatenate([[0], stop[:-1]])
+        long = stop - first >= self.min_line_words
+        first, stop = first[long], stop[long]
+        return (
+            np.concatenate([pos, first]),
+            np.concatenate([np.full(len(pos), WINDOW_WORDS), stop - first]),
+            np.concatenate([windows[pos], digest(first, stop) ^ _LINE]).view(np.int64),
+            np.concatenate([gap, np.zeros(len(first), dtype=np.uint64)]).view(np.int64),
+            np.concatenate([np.zeros(len(pos), dtype=bool), np.ones(len(first), dtype=bool)]),
+        )
 
-def cut_units(docs: DataFrame, cut_every: int = CUT_EVERY) -> DataFrame:
-    """(rid, doc_id, unit, start, stop, words, digest) per unit of docs (rid, doc_id, text), with the number
-    of words before it (at) and, SIDE_UNITS units before and after it, where texts and words start and stop (lo, hi, at_lo, at_hi)."""
 
-    def around(start, stop, words):
-        k = np.arange(len(start))
-        back, on = np.maximum(k - SIDE_UNITS, 0), np.minimum(k + SIDE_UNITS, len(k) - 1)
-        until = np.cumsum(words)
-        at = until - words
-        return start[back], stop[on], at, at[back], until[on]
+def cut_units(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, min_line_words: int = MIN_LINE_WORDS) -> DataFrame:
+    """(rid, doc_id, pos, words, line, digest, gap) per unit of docs (rid, doc_id, text)."""
 
     def run(batches):
-        cutter = UnitCutter(cut_every)
+        cutter = UnitCutter(min_run_words, min_line_words)
         for batch in batches:
             got = [cutter(t.as_py()) for t in batch.column("text")]
-            got = [g + around(*g[:3]) for g in got]
-            counts = np.array([len(g[0]) for g in got])
             for a in range(0, len(got), 512):  # bounded output batches
-                part, n = got[a : a + 512], counts[a : a + 512]
-                take = pa.array(np.repeat(np.arange(a, a + len(part)), n))
+                part = got[a : a + 512]
+                take = pa.array(np.repeat(np.arange(a, a + len(part)), [len(g[0]) for g in part]))
+                pos, words, digest, gap, line = (np.concatenate([g[i] for g in part]) for i in range(5))
+                columns = [pos.astype(np.int32), words.astype(np.int32), line, digest, (gap & 0x7FFFFFFF).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("rid").take(take),
-                        batch.column("doc_id").take(take),
-                        pa.array(np.concatenate([np.arange(k) for k in n]).astype(np.int32)),
-                        *(pa.array(np.concatenate([g[i] for g in part]).astype(np.int32)) for i in range(3)),
-                        pa.array(np.concatenate([g[3] for g in part]).astype(np.int64)),
-                        *(pa.array(np.concatenate([g[i] for g in part]).astype(np.int32)) for i in range(4, 9)),
-                    ],
-                    names=["rid", "doc_id", "unit", "start", "stop", "words", "digest", "lo", "hi", "at", "at_lo", "at_hi"],
+                    [batch.column("rid").take(take), batch.column("doc_id").take(take), *map(pa.array, columns)],
+                    names=["rid", "doc_id", "pos", "words", "line", "digest", "gap"],
                 )
 
     return docs.select("rid", "doc_id", "text").mapInArrow(
-        run, "rid bigint, doc_id bigint, unit int, start int, stop int, words int, digest bigint, lo int, hi int, at int, at_lo int, at_hi int"
+        run, "rid bigint, doc_id bigint, pos int, words int, line boolean, digest bigint, gap int"
     )
 
 
-def _agreement(batches):
-    """Per seed the words and the place of the agreement with the kept text beyond the run's start and stop."""
-    for batch in batches:
-        rows = []
-        for r in batch.to_pylist():
-            at, text = r["start"] - r["lo"], r["context"]
-            spans = [m.span() for m in _WORD.finditer(text)]
-            words = [text[a:b].encode("utf-8", "surrogatepass").lower() for a, b in spans]
-            n = sum(a < at for a, _ in spans)
-            left = r["kept"][: r["k_start"]].encode("utf-8", "surrogatepass").lower().rsplit(None, n + 1)[::-1]
-            right = r["kept"][r["k_start"] :].encode("utf-8", "surrogatepass").lower().split(None, len(words) - n)
-            first, last = n, n
-            while first and n - first < len(left) and words[first - 1] == left[n - first]:
-                first -= 1
-            while last < len(words) and last - n < len(right) and words[last] == right[last - n]:
-                last += 1
-            more = sum(a + r["lo"] < r["run_start"] for a, _ in spans[first:last])
-            beyond = sum(a + r["lo"] >= r["run_stop"] for a, _ in spans[first:last])
-            new_start = min([r["run_start"], *(a + r["lo"] for a, _ in spans[first : first + 1])])
-            new_stop = max([r["run_stop"], *(b + r["lo"] for _, b in spans[first:last][-1:])])
-            rows.append((r["rid"], r["run"], more, beyond, new_start, new_stop))
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["rid", "run", "more", "beyond", "new_start", "new_stop"])
-
-
-def _extended(docs: DataFrame, later: DataFrame, min_run_words: int) -> DataFrame:
-    """The runs of ``later`` (units with their run and first occurrence), extended at both ends.
-
-    Units of a run whose earliest occurrences follow each other as well are one seed. From each seed the words of
-    the run and of SIDE_UNITS units at its sides are compared with the kept text. Runs too short even with all of
-    those units are left out before. Extended runs that overlap or touch are one.
+def _later(units: DataFrame) -> DataFrame:
+    """Units whose digest occurs earlier, with the earliest occurrence's k_rid, k_doc, k_pos, k_gap.
+
+    Digests with more than HOT_SHARE of all units are found by counting; their earliest occurrences come from a grouping that
+    reduces on the map side and are broadcast back. All units share one shuffle, whose sorted groups are read as a stream; no
+    hot group is met in it.
     """
-    shift = F.col("unit") - F.col("first.unit")
-    same = Window.partitionBy("rid", "first.rid", shift).orderBy("unit")
-    seeds = later.withColumn("part", F.col("unit") - F.row_number().over(same)).groupBy("rid", "doc_id", "run", F.col("first.rid").alias("k_rid"), shift.alias("shift"), "part").agg(
-        F.min("unit").alias("unit"),
-        F.max("unit").alias("last"),
-        F.min("start").alias("start"),
-        F.max("stop").alias("stop"),
-        F.sum("words").alias("words"),
-        F.min_by(F.struct("lo", "at", "at_lo", F.col("first.start").alias("k_start"), F.col("first.doc_id").alias("kept_doc_id")), F.col("unit")).alias("l"),
-        F.max_by(F.struct("hi", "at_hi"), F.col("unit")).alias("r"),
+    bound = max(1, int(units.count() * HOT_SHARE))
+    hot = materialize(units.groupBy("digest").count().filter(F.col("count") > bound).select("digest"), "hot-units")
+    rank = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("pos")]
+    place = F.struct(rank[0].alias("unnamed"), "doc_id", "rid", "pos", "gap")
+    hot_first = materialize(units.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest").agg(F.min(place).alias("first")), "hot-first")
+    marked = units.join(F.broadcast(hot_first), "digest", "left")
+    in_order = Window.partitionBy("digest").orderBy(*rank)
+    cold = marked.filter(F.col("first").isNull()).withColumn("first", F.first(place).over(in_order))
+    both = cold.unionByName(marked.filter(F.col("first").isNotNull()))
+    # Not the first itself, and none that overlaps its own first occurrence.
+    later = both.filter((F.col("rid") != F.col("first.rid")) | (F.col("pos") >= F.col("first.pos") + F.col("words")))
+    return later.select(
+        "rid", "doc_id", "pos", "words", "line", "gap",
+        F.col("first.rid").alias("k_rid"), F.col("first.doc_id").alias("k_doc"), F.col("first.pos").alias("k_pos"), F.col("first.gap").alias("k_gap"),
+    )
+
+
+def _runs(later: DataFrame) -> DataFrame:
+    """(rid, doc_id, run, line, first, until, k_doc, left, right): later windows that touch or are chained, and lines by themselves.
+
+    ``left`` and ``right`` are where the outermost windows' earliest occurrences begin and end: (k_rid, k_p). Windows are chained that
+    follow each other in the earliest occurrence as well, with the same words between.
+    """
+    per_doc = Window.partitionBy("rid").orderBy("line", "pos")
+    before = lambda c: F.lag(c).over(per_doc)
+    touching = F.col("pos") <= before("pos") + before("words")
+    chained = (
+        (before("k_rid") == F.col("k_rid"))
+        & (F.col("pos") - before("pos") == F.col("k_pos") - before("k_pos"))
+        & (F.col("gap") == F.col("k_gap"))
+        & (F.col("gap") != 0)
     )
-    runs = seeds.groupBy("rid", "doc_id", "run").agg(
-        F.min("unit").alias("unit"),
-        F.max("last").alias("last"),
-        F.min("start").alias("run_start"),
-        F.max("stop").alias("run_stop"),
-        F.sum("words").alias("words"),
-        F.min_by("l", "unit").alias("l"),
-        F.max_by("r", "last").alias("r"),
-        F.collect_list(F.struct("k_rid", "start", F.col("l.k_start").alias("k_start"))).alias("seeds"),
+    joined = ~F.col("line") & (touching | chained)
+    numbered_ = later.withColumn("new", (~F.coalesce(joined, F.lit(False))).cast("int")).withColumn("run", F.sum("new").over(per_doc))
+    return numbered_.groupBy("rid", "doc_id", "run").agg(
+        F.max("line").alias("line"),
+        F.min("pos").alias("first"),
+        F.max(F.col("pos") + F.col("words")).alias("until"),
+        F.min_by("k_doc", "pos").alias("k_doc"),
+        F.min_by(F.struct("k_rid", F.col("k_pos").alias("k_p")), "pos").alias("left"),
+        F.max_by(F.struct("k_rid", (F.col("k_pos") + F.col("words")).alias("k_p")), "pos").alias("right"),
     )
-    runs = materialize(runs.filter(F.col("r.at_hi") - F.col("l.at_lo") >= min_run_words), "runs")
-    # A run from the first to the last unit of its text has nothing to extend into.
-    asked = runs.filter("l.at_lo < l.at OR r.at_hi > l.at + words").select(
-        "rid", "run", "run_start", "run_stop", F.col("l.lo").alias("lo"), F.col("r.hi").alias("hi"), F.explode("seeds").alias("s")
-    ).select("rid", "run", "run_start", "run_stop", "lo", "hi", "s.*")
-
-    def needed(keys, name):
-        texts = docs.select(F.col("rid").alias(name), "text")
-        keys = keys.select(name).distinct()
-        return texts.join(F.broadcast(keys), name, "left_semi") if keys.count() <= BROADCAST_KEYS else texts
-
-    context = F.substring(F.col("text"), F.col("lo") + 1, F.col("hi") - F.col("lo")).alias("context")
-    own = asked.join(needed(asked, "rid"), "rid").select(*asked.columns, context)
-    both = own.join(needed(asked, "k_rid").withColumnRenamed("text", "kept"), "k_rid")
-    both = both.select("rid", "run", "run_start", "run_stop", "lo", "start", "k_start", "context", "kept")
-    found = both.mapInArrow(_agreement, "rid bigint, run bigint, more int, beyond int, new_start int, new_stop int")
-    found = found.groupBy("rid", "run").agg(
-        F.max("more").alias("more"), F.max("beyond").alias("beyond"), F.min("new_start").alias("new_start"), F.max("new_stop").alias("new_stop")
+
+
+def _sides(texts: DataFrame, reach: int) -> DataFrame:
+    """(rid, right, p, h, offs, base) for texts (rid, text, ps: the asked (right, p)).
+
+    Left of word p, or from word p on: hashes of up to ``reach`` words going outwards, the offsets at which each begins (or ends), and the
+    offset of the edge itself.
+    """
+
+    def run(batches):
+        words = Words()
+        for batch in batches:
+            out = [[], [], [], [], [], []]
+            for rid, t, ps in zip(batch.column("rid").to_pylist(), batch.column("text"), batch.column("ps").to_pylist()):
+                text = t.as_py()
+                split = words.split(text)
+                starts, stops, _ = words.places(text)
+                for ask in ps:
+                    right, p = ask["right"], ask["p"]
+                    lo = max(p - reach, 0)
+                    near = split[p : p + reach] if right else split[lo:p][::-1]
+                    h = words.hashes(near).view(np.int64)
+                    values = (rid, True, p, h, stops[p : p + reach], stops[p - 1]) if right else (rid, False, p, h, starts[lo:p][::-1], starts[p])
+                    for column, v in zip(out, values):
+                        column.append(v)
+            kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["rid", "right", "p", "h", "offs", "base"])
+
+    return texts.select("rid", "text", "ps").mapInArrow(run, "rid bigint, right boolean, p int, h array<bigint>, offs array<int>, base int")
+
+
+def _extended(docs: DataFrame, runs: DataFrame, reach: int) -> DataFrame:
+    """``runs`` with first and until moved outwards while the words agree, and their offsets start and stop."""
+    ends = F.array(
+        F.struct(F.lit(False).alias("right"), F.col("first").alias("p"), "left.k_rid", "left.k_p"),
+        F.struct(F.lit(True).alias("right"), F.col("until").alias("p"), "right.k_rid", "right.k_p"),
     )
-    full = (
-        runs.select("rid", "doc_id", F.col("run").cast("bigint").alias("run"), "unit", "run_start", "run_stop", "words", "l.at", "l.kept_doc_id")
-        .join(found, ["rid", "run"], "left")
-        .select(
-            "rid", "doc_id", "unit", "kept_doc_id",
-            F.coalesce("new_start", "run_start").alias("start"),
-            F.coalesce("new_stop", "run_stop").alias("stop"),
-            (F.col("at") - F.coalesce("more", F.lit(0))).alias("first"),
-            (F.col("at") + F.col("words") + F.coalesce("beyond", F.lit(0))).alias("until"),
-        )
-    )
-    per_doc = Window.partitionBy("rid").orderBy("first", "unit")
-    apart = F.coalesce(F.max("until").over(per_doc.rowsBetween(Window.unboundedPreceding, -1)) < F.col("first"), F.lit(True))
-    joined = full.withColumn("apart", apart).withColumn("group", F.sum(F.col("apart").cast("int")).over(per_doc)).groupBy("rid", "doc_id", "group").agg(
-        F.min("start").alias("start"),
-        F.max("stop").alias("stop"),
-        (F.max("until") - F.min("first")).alias("words"),
-        F.min_by("kept_doc_id", "unit").alias("kept_doc_id"),
+    edges = runs.select("rid", "run", "line", F.explode(ends).alias("e")).select("rid", "run", "line", "e.*")
+    # A line is whole, and before the first word there is nothing to compare.
+    compared = ~F.col("line") & (F.col("right") | (F.least("p", "k_p") > 0))
+    asked = edges.select("rid", "right", "p").unionByName(edges.filter(compared).select(F.col("k_rid").alias("rid"), "right", F.col("k_p").alias("p"))).distinct()
+    asked = materialize(asked.groupBy("rid").agg(F.collect_list(F.struct("right", "p")).alias("ps")), "asked")
+    texts = docs.select("rid", "text")
+    if asked.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(asked.select("rid")), "rid", "left_semi")
+    sides = materialize(_sides(texts.join(asked, "rid"), reach), "sides")
+    own = edges.join(sides, ["rid", "right", "p"])
+    kept = sides.select(F.col("rid").alias("k_rid"), "right", F.col("p").alias("k_p"), F.col("h").alias("k_h"))
+    agree = F.zip_with("h", "k_h", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    differs = F.array_position(agree, F.lit(False))
+    n = F.when(F.col("k_h").isNull(), 0).when(differs == 0, F.size(agree)).otherwise(differs - 1)
+    # Within one text a passage does not reach back into its own earliest occurrence.
+    clear = F.when(~F.col("right") & (F.col("rid") == F.col("k_rid")), F.greatest(F.col("p") - F.col("k_p") - WINDOW_WORDS, F.lit(0))).otherwise(reach)
+    # Lines ask for no comparison, so they meet no kept side.
+    asks = F.when(compared, F.col("k_rid"))
+    joined = own.withColumn("a", asks).alias("o").join(
+        kept.alias("k"),
+        (F.col("o.a") == F.col("k.k_rid")) & (F.col("o.right") == F.col("k.right")) & (F.col("o.k_p") == F.col("k.k_p")),
+        "left",
+    ).select("o.*", "k.k_h")
+    found = joined.withColumn("n", F.least(n, clear).cast("int")).select(
+        "rid", "run", "right", "p", "n", F.when(F.col("n") == 0, F.col("base")).otherwise(F.get("offs", F.col("n") - 1)).alias("at")
+    )
+    left, right = ~F.col("right"), F.col("right")
+    moved = found.groupBy("rid", "run").agg(
+        F.max(F.when(left, F.col("p") - F.col("n"))).alias("first"),
+        F.max(F.when(left, F.col("at"))).alias("start"),
+        F.max(F.when(right, F.col("p") + F.col("n"))).alias("until"),
+        F.max(F.when(right, F.col("at"))).alias("stop"),
     )
-    return joined.filter(F.col("words") >= min_run_words).drop("group")
+    return runs.select("rid", "run", "doc_id", "line", "k_doc").join(moved, ["rid", "run"])
 
 
-def repeated_runs(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, cut_every: int = CUT_EVERY, extend: bool = True) -> DataFrame:
-    """(rid, doc_id, start, stop, words, kept_doc_id): runs to remove from docs (rid, doc_id, text).
+def _passages(pieces: DataFrame, min_run_words: int) -> DataFrame:
+    """Pieces that overlap or touch are one passage; shorter ones than ``min_run_words`` leave only their whole lines."""
+    per_doc = Window.partitionBy("rid").orderBy("first", "until", "run")
+    apart = F.coalesce(F.max("until").over(per_doc.rowsBetween(Window.unboundedPreceding, -1)) < F.col("first"), F.lit(True))
+    grouped = pieces.withColumn("apart", apart.cast("int")).withColumn("group", F.sum("apart").over(per_doc))
+    per_group = Window.partitionBy("rid", "group")
+    long = F.max("until").over(per_group) - F.min("first").over(per_group) >= min_run_words
+    grouped = grouped.withColumn("long", long).filter("long or line")
+    return (
+        grouped.groupBy("rid", "doc_id", "group", F.when(~F.col("long"), F.col("first")).alias("alone"))
+        .agg(
+            F.min("start").alias("start"),
+            F.max("stop").alias("stop"),
+            (F.max("until") - F.min("first")).alias("words"),
+            F.min_by("k_doc", F.struct("first", "until", "run")).alias("kept_doc_id"),
+        )
+        .drop("group", "alone")
+    )
 
-    ``kept_doc_id`` is the document of the earliest occurrence of the run's first unit. The rank of an occurrence
-    is (doc_id, rid, place in the text), null ids last. Consecutive repeated units form a run,
-    and runs of at least ``min_run_words`` words go, counted after the extension if ``extend``.
 
-    The earliest occurrences come from a grouping that reduces on the map side. Hot digests, at
-    most 1 / HOT_SHARE of them, are broadcast back to the units; the rest is joined by digest, so no task meets
-    a hot group.
+def repeated_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, min_line_words: int = MIN_LINE_WORDS) -> DataFrame:
+    """(rid, doc_id, start, stop, words, kept_doc_id): passages to remove from docs (rid, doc_id, text).
+
+    The rank of an occurrence is (doc_id, rid, place in the text), null ids last. ``kept_doc_id`` is the document of the earliest
+    occurrence of the passage's first piece. A passage's ends are found up to PICK - 1 words beyond its outermost windows, which is as far
+    as it can reach while these have their earliest occurrence in one text; where they have it in another, shorter one,
+    fewer words at that end are found.
     """
-    units = store_texts(cut_units(docs, cut_every), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("unit"), F.col("start"))
-    groups = units.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1")
-    groups = materialize(groups.select(F.col("digest").alias("g"), "n", "first"), "repeated-units")
-    bound = max(1, int(units.count() * HOT_SHARE))
-    hot = F.broadcast(groups.filter(F.col("n") > bound).select("g", "first"))
-    rest = groups.filter(F.col("n") <= bound).select("g", "first")
-    with_hot = units.join(hot, F.col("digest") == F.col("g"), "left").drop("g")
-    found = with_hot.filter(F.col("first").isNotNull()).unionByName(
-        with_hot.filter(F.col("first").isNull()).drop("first").join(rest, F.col("digest") == F.col("g")).drop("g")
-    )
-    later = found.filter(F.struct(F.col("rid"), F.col("unit")) != F.struct(F.col("first.rid"), F.col("first.unit")))
-    per_doc = Window.partitionBy("rid").orderBy("unit")
-    later = later.withColumn("run", F.col("unit") - F.row_number().over(per_doc))
-    if extend:
-        return _extended(docs, later, min_run_words)
-    runs = later.groupBy("rid", "doc_id", "run").agg(
-        F.min("start").alias("start"),
-        F.max("stop").alias("stop"),
-        F.sum("words").alias("words"),
-        F.min_by(F.col("first.doc_id"), F.col("unit")).alias("kept_doc_id"),
-    )
-    return runs.filter(F.col("words") >= min_run_words).drop("run")
+    spark = docs.sparkSession
+    reach = min_run_words - WINDOW_WORDS
+    path = scratch_path(spark, "units")
+    units = store_at(cut_units(docs, min_run_words, min_line_words), path)
+    later = store_texts(_later(units), "later-units")
+    discard(spark, path)
+    runs = materialize(_runs(later), "runs")
+    return _passages(materialize(_extended(docs, runs, reach), "pieces"), min_run_words)
 
 
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cols: list[str] | None = None) -> DataFrame:
@@ -271,15 +331,14 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     )
 
 
-def duplicate_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col: str = "doc_id", text_col: str = "text", extend: bool = False) -> DataFrame:
-    """doc_id, start, stop, words, kept_doc_id: every passage that repeats an earlier one.
+def duplicate_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, start, stop, words, kept_doc_id: every passage or line that repeats an earlier one.
 
-    Without ``extend`` passages are whole units only; op4_substring_dedup and remove_passages extend them.
     Offsets count code points of the original text, stop exclusive. Documents without such a
     passage, null and empty texts give no row; of rows that repeat as a whole all but the first do.
     """
-    runs = repeated_runs(numbered(docs, id_col, text_col), min_run_words, extend=extend)
-    return runs.select("doc_id", "start", "stop", F.col("words").cast("bigint").alias("words"), "kept_doc_id")
+    found = repeated_passages(numbered(docs, id_col, text_col), min_run_words)
+    return found.select("doc_id", "start", "stop", F.col("words").cast("bigint").alias("words"), "kept_doc_id")
 
 
 def remove_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,8 +348,8 @@ def remove_passages(docs: DataFrame, min_run_words: int = MIN_RUN_WORDS, id_col:
     the text. White space after a removed passage goes with it up to the line's end.
     """
     base = numbered(docs, id_col, text_col, [c for c in docs.columns if c != text_col])
-    runs = repeated_runs(base.select("rid", "doc_id", "text"), min_run_words)
-    spans = runs.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    found = repeated_passages(base.select("rid", "doc_id", "text"), min_run_words)
+    spans = found.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     joined = base.join(spans, "rid", "left")
     n = F.size("spans")
     pieces = F.transform(
