@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -152,31 +153,65 @@ def test_keep_first_keeps_one_row_a_group(spark, odd_docs, empty_docs):
 # -- substring dedup ---------------------------------------------------------
 
 
-def brute_runs(rows, least):
-    """rows: (doc_id, text) in rank order."""
+def picked_next(q, p, units):
+    """Whether no window was picked between those at q and p."""
+    pos, line = units[0], units[4]
+    return not ((pos[~line] > q) & (pos[~line] < p)).any()
+
+
+def brute_passages(rows, least=substring_dedup.MIN_RUN_WORDS):
+    """rows: (doc_id, text) in rank order. (doc_id, start, stop, words) of what goes, by comparing words; the places of units are the cutter's."""
     cut, seen, out = substring_dedup.UnitCutter(), {}, []
+    texts, units = [t.encode().lower().split() for _, t in rows], [cut(t) for _, t in rows]
     for at, (d, t) in enumerate(rows):
-        start, stop, words, _ = cut(t)
-        runs = []
-        for i in range(len(start)):
-            unit = b" ".join(t[start[i] : stop[i]].encode().lower().split())
-            if unit in seen:
-                if runs and runs[-1][3] == i - 1:
-                    runs[-1][1:4] = [int(stop[i]), runs[-1][2] + int(words[i]), i]
-                else:
-                    runs.append([int(start[i]), int(stop[i]), int(words[i]), i, seen[unit]])
+        mine, pieces, runs, k_before = texts[at], [], [], None
+        for p, n, line in sorted(zip(*(x.tolist() for i, x in enumerate(units[at]) if i in (0, 1, 4)))):
+            k_at, k = seen.setdefault((line, *mine[p : p + n]), (at, p))
+            if (k_at, k) == (at, p) or (k_at == at and p < k + n):
+                continue
+            if line:
+                pieces.append((p, p + n, True))
+                continue
+            q = runs[-1][1] - n if runs else None  # the window before
+            along = k_before and k_before[0] == k_at and p - q == k - k_before[1] and mine[q:p] == texts[k_at][k_before[1] : k]
+            if runs and (p <= q + n or (along and picked_next(q, p, units[at]) and picked_next(k_before[1], k, units[k_at]))):
+                runs[-1][1:] = [p + n, runs[-1][2], (k_at, k + n)]
+            else:
+                runs.append([p, p + n, (k_at, k), (k_at, k + n)])
+            k_before = (k_at, k)
+        for a, b, (l_at, l), (r_at, r) in runs:
+            p, q = a, b
+            reach = min(least - 8, p - l - 8) if l_at == at else least - 8
+            while p - a < reach and a and l - (p - a) and mine[a - 1] == texts[l_at][l - (p - a) - 1]:
+                a -= 1
+            while b - q < least - 8 and b < len(mine) and r + b - q < len(texts[r_at]) and mine[b] == texts[r_at][r + b - q]:
+                b += 1
+            pieces.append((a, b, False))
+        groups = []
+        for a, b, line in sorted(pieces):
+            if groups and a <= groups[-1][1]:
+                groups[-1][1] = max(b, groups[-1][1])
             else:
-                seen[unit] = d
-        out += [(d, a, b, w, k) for a, b, w, _, k in runs if w >= least]
+                groups.append([a, b, set()])
+            groups[-1][2] |= {(a, b)} if line else set()
+        spans = [m.span() for m in re.finditer(r"[^\x09-\x0d\x20]+", t)]
+        for a, b, lines in groups:
+            out += [(d, spans[x][0], spans[y - 1][1], y - x) for x, y in ([(a, b)] if b - a >= least else sorted(lines))]
     return out
 
 
-def test_unit_offsets_cover_all_words():
-    text = " Été  the quick\tbrown\n\nfox 😀 jumps \x0bover. The lazy dog\r\nend"
-    start, stop, words, digest = substring_dedup.UnitCutter(2)(text)
-    assert [w for a, b in zip(start, stop) for w in text[a:b].split()] == text.split()
-    assert list(words) == [len(text[a:b].split()) for a, b in zip(start, stop)]
-    assert not any("\n" in text[a:b] for a, b in zip(start, stop)) and len(set(digest.tolist())) == len(digest)
+def test_units_are_lines_and_windows():
+    text = " Été  the quick\tbrown\n\nfox 😀 jumps \x0bover the LAZY dog\r\nend"
+    pos, words, digest, _, line = substring_dedup.UnitCutter()(text)
+    assert [(p, n) for p, n, x in zip(pos.tolist(), words.tolist(), line.tolist()) if x] == [(4, 7)]
+    assert [n for n, x in zip(words.tolist(), line.tolist()) if not x] == [8] and len(set(digest.tolist())) == 2
+    r = random.Random(4)
+    some = [str(r.randrange(10**6)) for _ in range(300)]
+    inside = " ".join(some[100:120])
+    mine = set(substring_dedup.UnitCutter()(" ".join(some))[2].tolist())
+    for at in range(0, 80, 7):  # twenty shared words always share a window
+        other = " ".join([f"x{i}" for i in range(at)] + [inside] + [f"y{i}" for i in range(99 - at)])
+        assert mine & set(substring_dedup.UnitCutter()(other)[2].tolist())
 
 
 def test_inline_passage_is_found_and_clean_text_left(spark):
@@ -196,39 +231,67 @@ def test_inline_passage_is_found_and_clean_text_left(spark):
     assert passage.upper() not in clean[11] and passage.upper() in clean[3]
 
 
-def test_substring_dedup_matches_brute_force(spark, odd_docs, empty_docs):
+def test_substring_dedup_matches_brute_force(spark, odd_docs, empty_docs, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     got = substring_dedup.duplicate_passages(docs).collect()
-    assert sorted(map(tuple, got)) == sorted(brute_runs(rows, substring_dedup.MIN_RUN_WORDS))
+    assert sorted((r.doc_id, r.start, r.stop, r.words) for r in got) == sorted(brute_passages(rows))
+    text = dict(rows)
+    for r in got[::7]:  # the kept document has the passage's first window or line
+        words = text[r.doc_id][r.start : r.stop].lower().split()
+        assert " ".join(words[: min(len(words), 8)]) in " ".join(text[r.kept_doc_id].lower().split()) or r.words >= 20
+    # without hot digests, and with all texts shuffled, the result is the same
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", 1.0)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_KEYS", 0)
+    assert sorted(map(tuple, substring_dedup.duplicate_passages(docs).collect())) == sorted(map(tuple, got))
     odd = substring_dedup.duplicate_passages(odd_docs).collect()
-    assert {x.doc_id for x in odd} == {x[0] for x in brute_runs(sorted((r.doc_id, r.text) for r in odd_docs.collect() if r.text and r.doc_id), 20)}
+    named = sorted((r.doc_id, r.text) for r in odd_docs.collect() if r.text and r.doc_id)
+    assert sorted((r.doc_id, r.start, r.stop, r.words) for r in odd) == sorted(brute_passages(named))
     cut = substring_dedup.remove_passages(odd_docs)
     assert cut.columns == odd_docs.columns and cut.count() == odd_docs.count()
     assert Counter(r.doc_id for r in cut.collect() if r.text is None) == Counter([1, None])
     assert substring_dedup.remove_passages(empty_docs).count() == 0
 
 
-def test_passages_are_cut_out_to_their_last_word(spark):
+def test_every_passage_is_cut_out_to_its_last_word(spark):
     r = random.Random(12)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
-    cut, docs, want = substring_dedup.UnitCutter(), [], {}
+    docs, want = [], {}
     for i in range(400):
-        passage = [word() for _ in range(r.choice([24, 35, 51, 60]))]
+        passage = [word() for _ in range(r.choice([20, 24, 35, 51, 60]))]
         plain = [[word() for _ in range(30)] for _ in range(2)]
         for k, w in enumerate(plain):
             docs.append((2 * i + k, " ".join(w[:15]) + "  " + (" ".join(passage) if k else "\t".join(passage).upper()) + " " + " ".join(w[15:])))
-        # found if a unit lies within the passage in both texts
-        if len(cut(" ".join(["x", *passage, "x"]))[0]) > 3:
-            want[2 * i + 1] = (len(passage), " ".join(plain[1][:15]) + "  " + " ".join(plain[1][15:]))
+        want[2 * i + 1] = (len(passage), " ".join(plain[1][:15]) + "  " + " ".join(plain[1][15:]))
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    got = {x.doc_id: x.words for x in substring_dedup.duplicate_passages(frame, extend=True).collect()}
-    assert len(want) > 300 and {d: got.get(d) for d in want} == {d: n for d, (n, _) in want.items()}
+    got = {x.doc_id: x.words for x in substring_dedup.duplicate_passages(frame).collect()}
+    assert got == {d: n for d, (n, _) in want.items()}
     clean = {x.doc_id: x.text for x in substring_dedup.remove_passages(frame).collect()}
     assert all(clean[d] == t for d, (_, t) in want.items())
     assert all(clean[d] == t for d, t in docs if d % 2 == 0)
 
 
+def test_lone_repeated_lines_go(spark):
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    line = " ".join(word() for _ in range(9))
+    some = lambda: " ".join(word() for _ in range(12))
+    docs = [(i, f"{some()}\n{line}\n{some()} {' '.join(line.split()[:4])}") for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = substring_dedup.duplicate_passages(frame).collect()
+    assert sorted((x.doc_id, x.words, x.kept_doc_id) for x in got) == [(i, 9, 0) for i in range(1, 200)]
+    texts = dict(docs)
+    assert all(texts[x.doc_id][x.start : x.stop] == line for x in got)
+
+
+def test_periodic_text_keeps_its_first_period(spark):
+    frame = spark.createDataFrame([(1, "x " * 100), (2, " ".join(f"w{i % 30}" for i in range(120)))], "doc_id bigint, text string")
+    got = substring_dedup.duplicate_passages(frame).collect()
+    assert sorted((x.doc_id, x.start, x.stop, x.words) for x in got) == sorted(brute_passages([(r.doc_id, r.text) for r in frame.collect()]))
+    left = {x.doc_id: len(x.text.split()) for x in substring_dedup.remove_passages(frame).collect()}
+    assert left[1] >= 8 and left[2] >= 30
+
+
 # -- decontamination ---------------------------------------------------------
 
 
@@ -302,6 +365,53 @@ def test_densely_edited_copies_are_found(spark, monkeypatch):
     assert {d // 20 for d, _ in want} == set(range(5))
 
 
+def test_alignment_within_reach_is_the_whole_alignment():
+    r = random.Random(3)
+    for _ in range(300):
+        n = r.randint(2, 14)
+        item = np.array([r.randint(1, 9) for _ in range(n)], dtype=np.uint64)
+        doc = np.array([r.randint(1, 12) for _ in range(r.randint(0, 60))], dtype=np.uint64)
+        if r.random() < 0.7:  # an edited copy somewhere
+            copy = [x if r.random() < 0.8 else 99 for x in item.tolist()]
+            at = r.randint(0, len(doc))
+            doc = np.concatenate([doc[:at], np.array(copy, dtype=np.uint64), doc[at:]])
+        share = brute_align(doc.tolist(), item.tolist()) / (2 * n)
+        got = decontaminate.contamination(doc, item, 0.6)
+        assert (got is not None) == (share >= 0.6) and (got is None or math.isclose(got[0], share))
+
+
+def test_short_long_and_nameless_items(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    long, nameless = [word() for _ in range(200)], [word() for _ in range(12)]
+    noise = lambda n: [word() for _ in range(n)]
+    docs = [
+        (1, ["aa", "z", "bb", "z", "cc"]),  # a three-word item with a word between all
+        (2, [*noise(30), *long[40:150], *noise(30)]),  # 110 of 200 words
+        (3, [*noise(9), *nameless, *noise(9)]),
+        (4, [*noise(9), *long[:24], *noise(9)]),  # a word short of the verbatim length
+        (5, [*noise(9), *long[100:125], *noise(9)]),
+        (6, ["aa", "x", "x", "x", "x", "cc"]),
+        (7, noise(40)),
+        (8, ["one"]),
+    ]
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id bigint, text string")
+    tests = spark.createDataFrame(
+        [(0, "aa bb cc"), (1, " ".join(long)), (None, " ".join(nameless)), (3, "one"), (None, None), (4, "")], "item_id bigint, text string"
+    )
+    got = {(x.doc_id, x.item_id): x.score for x in decontaminate.find_contamination(frame, tests).collect()}
+    assert set(got) == {(1, 0), (2, 1), (3, None), (5, 1)}
+    assert math.isclose(got[1, 0], 4 / 6) and got[2, 1] == 0.55 and got[3, None] == 1.0
+    assert {x.doc_id for x in decontaminate.clean_documents(frame, tests).collect()} == {4, 6, 7, 8}
+
+
+def test_seeds_are_the_rarest_grams(spark):
+    grams = spark.createDataFrame([(1, g, 1, 2) for g in range(5)] + [(2, 9, 3, 1)], "item bigint, gram bigint, places bigint, need bigint")
+    counts = spark.createDataFrame([(0, 50), (1, 7), (2, 9), (3, 1), (9, 4)], "gram bigint, count bigint")
+    rows = decontaminate._seeds(grams, counts).collect()
+    assert {(r.item, r.gram) for r in rows if r.seed} == {(1, 4), (1, 3), (1, 1), (1, 2), (2, 9)}  # n - need + 1 = 4 of 5
+
+
 # -- SentencePiece -----------------------------------------------------------
 
 
@@ -439,7 +549,7 @@ def test_pipeline_stages(spark, tmp_path):
             group = roots([fps[d] for d in ids], lambda a, b: (a ^ b).bit_count() <= 4)
             assert set(after) == {min(d for d, x in zip(ids, group) if x == g) for g in set(group)}
         if k == 2:
-            cut = {d for d, *_ in brute_runs(sorted(before.items()), substring_dedup.MIN_RUN_WORDS)}
+            cut = {d for d, *_ in brute_passages(sorted(before.items()))}
             assert {d for d in after if after[d] != before[d]} == cut
         if k == 3:
             lowered = [" ".join(w.decode() for w in decontaminate.words_of(b)) for b in bench]
