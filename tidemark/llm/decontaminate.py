@@ -1,10 +1,12 @@
-"""Benchmark decontamination: shared word pairs join training texts to test items,
+"""Benchmark decontamination: rare word pairs join training texts to test items,
 then Smith-Waterman alignment scores exact, edited and paraphrased copies.
 
-Every pair of neighbouring words of an item is a seed. An alignment of M matches in r runs scores
-at most 2 M - (r - 1) and covers M - r pairs, and M is at most the item's length L. So one that reaches
-the share s of 2 L covers at least (2 s - 1) L - 1 pairs, wherever its edits lie: pairs of a document
-and an item below that number are left out without losing a copy.
+An alignment of M matches in r runs scores at most 2 M - (r - 1) and covers M - r pairs of neighbouring words of the item, and M is at
+most the item's length L. So one that reaches the share s of 2 L covers at least need = (2 s - 1) L - 1 pairs, wherever its
+edits lie. Any n - need + 1 of an item's n pairs therefore hold one that the copy covers: the ones that are rarest in the
+corpus are the item's seeds. A text that has a seed of an item is counted against all its pairs, and only with
+``need`` of them aligned, within the stretch that an alignment through a shared pair can reach. No copy over the threshold is lost
+on the way. Items so short that need is 0 have single words in place of pairs, of which a copy has at least s L.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,49 +25,53 @@ from tidemark.session import materialize
 
 ship(__name__)
 
-SEED_WORDS = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of the item's own score from which a document counts as contaminated.
 MIN_SCORE = 0.6
+# A document counts as contaminated as well if it has so many words of an item in a row, however long the item.
+VERBATIM_WORDS = 25
 MEMO_WORDS = 500_000
-# Item n-grams are broadcast up to this many (32 bytes each); beyond it they are joined by shuffle.
+# Item grams are broadcast up to this many (32 bytes each); beyond it they are joined by shuffle.
 BROADCAST_GRAMS = 2_000_000
 # Candidate documents' keys are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
 BROADCAST_KEYS = 4_000_000
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MARKS = b".,;:!?\"'()[]{}"
+
 
 def words_of(text: str | None) -> list[bytes]:
     """Words without ASCII white space, A-Z as a-z, without marks at either end."""
     ws = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return [w.strip(b".,;:!?\"'()[]{}") or w for w in ws]
+    return [w.strip(_MARKS) or w for w in ws]
 
 
-class GramHasher:
-    """64-bit hashes of the word n-grams of a text, in order."""
+class Hasher:
+    """64-bit hashes of the words of a text, as ``words_of`` gives them, and of its grams."""
 
-    def __init__(self, n: int = SEED_WORDS):
-        self.n = n
+    def __init__(self):
         self.memo: dict[bytes, int] = {}
 
-    def _hash(self, word: bytes) -> int:
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            got = self.memo[word] = xxhash.xxh64_intdigest(word)
-        return got
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        ws = words_of(text)
-        m = len(ws) - self.n + 1
-        if m < 1:
-            return np.empty(0, dtype=np.int64)
-        h = np.array([self._hash(w) for w in ws], dtype=np.uint64)
-        out = np.zeros(m, dtype=np.uint64)
-        for k in range(self.n):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + m]
-        out ^= out >> np.uint64(29)
-        return out.view(np.int64)
+    def words(self, text: str | None) -> np.ndarray:
+        memo = self.memo
+        if len(memo) >= MEMO_WORDS:
+            memo.clear()
+        ws = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        got = list(map(memo.get, ws))
+        if None in got:
+            for i, w in enumerate(ws):
+                if got[i] is None:
+                    got[i] = memo[w] = xxhash.xxh64_intdigest(w.strip(_MARKS) or w)
+        return np.array(got, dtype=np.uint64)
+
+    @staticmethod
+    def pairs(h: np.ndarray) -> np.ndarray:
+        out = (h[:-1] * _MIX + h[1:]) * _MIX
+        return (out ^ out >> np.uint64(29)).view(np.int64)
+
+    @staticmethod
+    def singles(h: np.ndarray) -> np.ndarray:
+        return (h * _MIX ^ np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
 def align(doc: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
@@ -98,59 +104,135 @@ def _forward(doc: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def least_pairs(words: int, min_score: float) -> int:
-    """Word pairs of an item of so many words that any alignment reaching ``min_score`` covers, at least 1."""
-    return max(1, math.ceil((2 * min_score - 1) * words - 1 - 1e-9))
+def longest_run(doc: np.ndarray, item: np.ndarray) -> int:
+    """Most words of the item that doc has in a row."""
+    best, row = 0, np.zeros(len(doc) + 1, dtype=np.int32)
+    for x in item:
+        row[1:] = np.where(doc == x, row[:-1] + 1, 0)
+        best = max(best, int(row.max()))
+    return best
+
+
+def by_singles(words: int, min_score: float) -> bool:
+    """Whether an item is so short that an alignment reaching ``min_score`` need not cover a pair."""
+    return (2 * min_score - 1) * words - 1 <= 1e-9
+
+
+def least_grams(words: int, min_score: float) -> int:
+    """Grams of an item of so many words (pairs; single words of a short one) that any copy covers."""
+    if by_singles(words, min_score):
+        return max(1, math.ceil(min_score * words - 1e-9))
+    need = math.ceil((2 * min_score - 1) * words - 1 - 1e-9)
+    return min(need, VERBATIM_WORDS - 1) if words >= VERBATIM_WORDS else need
+
+
+def reachable(doc: np.ndarray, item: np.ndarray, min_score: float) -> list[tuple[int, int]]:
+    """Stretches of doc (word hashes) that hold every alignment over the threshold: around each shared gram as far as such an alignment
+    can be long, which is its matches, at most the item's words, and the mismatches and gaps that its score leaves."""
+    n = len(item)
+    if by_singles(n, min_score):
+        at = np.flatnonzero(np.isin(doc, item))
+    else:
+        at = np.flatnonzero(np.isin(Hasher.pairs(doc), Hasher.pairs(item)))
+    reach = n + math.ceil(2 * n * (1 - min_score))
+    out: list[list[int]] = []
+    for p in at.tolist():
+        lo, hi = max(p - reach, 0), min(p + 2 + reach, len(doc))
+        if out and lo <= out[-1][1]:
+            out[-1][1] = hi
+        else:
+            out.append([lo, hi])
+    return [(a, b) for a, b in out]
+
+
+def contamination(doc: np.ndarray, item: np.ndarray, min_score: float) -> tuple[float, int, int] | None:
+    """Share of the item's own score, start and end word of the best alignment, if the document is contaminated."""
+    best, verbatim = (0, 0, 0), False
+    for lo, hi in reachable(doc, item, min_score):
+        part = doc[lo:hi]
+        shared = int(np.isin(item, part).sum())
+        if shared >= min_score * len(item) - 1e-9 or shared >= VERBATIM_WORDS:
+            score, a, b = align(part, item)
+            if score > best[0]:
+                best = score, lo + a, lo + b
+            if score < min_score * MATCH * len(item) and len(item) >= VERBATIM_WORDS:
+                verbatim = verbatim or longest_run(part, item) >= VERBATIM_WORDS
+    share = best[0] / (MATCH * len(item))
+    return (share, best[1], best[2]) if share >= min_score or verbatim else None
 
 
 def _item_grams(tests: DataFrame, min_score: float) -> DataFrame:
-    """(item, gram, places, need): an item's distinct word pairs, how often each is in it, and least_pairs of the item."""
+    """(item, gram, places, need): an item's distinct grams, how often each is in it, and least_grams of the item."""
 
     def run(batches):
-        hasher = GramHasher()
+        hasher = Hasher()
         for batch in batches:
             for item, t in zip(batch.column("item").to_pylist(), batch.column("text")):
-                got = hasher(t.as_py())
-                gram, places = np.unique(got, return_counts=True)
-                n, need = len(gram), least_pairs(len(got) + SEED_WORDS - 1, min_score)
+                h = hasher.words(t.as_py())
+                if len(h) < 2:
+                    continue
+                gram, places = np.unique(hasher.singles(h) if by_singles(len(h), min_score) else hasher.pairs(h), return_counts=True)
+                n, need = len(gram), least_grams(len(h), min_score)
                 columns = [np.full(n, item), gram, places, np.full(n, need)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["item", "gram", "places", "need"])
 
     return tests.select("item", "text").mapInArrow(run, "item bigint, gram bigint, places bigint, need bigint")
 
 
-def _gram_table(df: DataFrame) -> DataFrame:
-    """(digest, grams): distinct n-grams of (digest, text)."""
+def _text_grams(base: DataFrame, known: np.ndarray | None, singles: bool) -> DataFrame:
+    """(digest, grams): distinct grams of (digest, text) that are ``known`` (sorted; None: all); texts without one give no row."""
 
     def run(batches):
-        hasher = GramHasher()
+        hasher = Hasher()
         for batch in batches:
-            got = [np.unique(hasher(t.as_py())) for t in batch.column("text")]
-            ends = np.cumsum([0] + [len(g) for g in got]).astype(np.int32)
-            flat = np.concatenate(got) if got else np.empty(0, dtype=np.int64)
-            grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), grams], names=["digest", "grams"])
+            got, rows = [], []
+            for k, t in enumerate(batch.column("text")):
+                h = hasher.words(t.as_py())
+                grams = np.concatenate([hasher.pairs(h), hasher.singles(h)]) if singles else hasher.pairs(h)
+                if known is not None and len(grams):
+                    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                    grams = grams[known[at] == grams]
+                if len(grams):
+                    got.append(np.unique(grams))
+                    rows.append(k)
+            if rows:
+                ends = np.cumsum([0] + [len(g) for g in got]).astype(np.int32)
+                arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got), pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("digest").take(pa.array(rows, pa.int64())), arrays], names=["digest", "grams"])
 
-    return df.select("digest", "text").mapInArrow(run, "digest string, grams array<bigint>")
+    return base.select("digest", "text").mapInArrow(run, "digest string, grams array<bigint>")
 
 
-def _sharing(base: DataFrame, grams: DataFrame) -> DataFrame:
-    """(digest, item): texts of base (digest, text) and items that share at least the needed word pairs."""
+def _seeds(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """``grams`` with ``seed``: whether a gram is among the item's rarest that leave fewer than ``need`` places to the others."""
+    seen = grams.join(counts, "gram", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    rarest = Window.partitionBy("item").orderBy("count", "gram")
+    before = F.coalesce(F.sum("places").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("places").over(Window.partitionBy("item"))
+    return seen.select("item", "gram", "places", "need", (before < total - F.col("need") + 1).alias("seed"))
+
+
+def _sharing(base: DataFrame, grams: DataFrame, singles: bool) -> DataFrame:
+    """(digest, item): texts of base (digest, text) that have a seed of an item and as many of its grams as a copy must have."""
     if grams.count() > BROADCAST_GRAMS:
-        shared = _gram_table(base).select("digest", F.explode("grams").alias("gram")).distinct().join(grams, "gram")
-        return shared.groupBy("digest", "item").agg(F.sum("places").alias("n"), F.max("need").alias("need")).filter("n >= need").select("digest", "item")
-    known = grams.toArrow().sort_by("gram")
-    gram, item, places, need = (known.column(c).to_numpy() for c in ("gram", "item", "places", "need"))
+        return _sharing_by_join(base, grams, singles)
+    known = np.unique(grams.select("gram").toArrow().column("gram").to_numpy())
+    if not len(known):
+        return base.sparkSession.createDataFrame([], "digest string, item bigint")
+    found = materialize(_text_grams(base, known, singles), "text-grams")
+    counts = found.select(F.explode("grams").alias("gram")).groupBy("gram").count()
+    table = _seeds(grams, counts).toArrow().sort_by("gram")
+    gram, item, places, need, seed = (table.column(c).to_numpy() for c in ("gram", "item", "places", "need", "seed"))
 
     def run(batches):
-        hasher = GramHasher()
         for batch in batches:
             rows, items = [], []
-            for k, t in enumerate(batch.column("text")):
-                got = np.unique(hasher(t.as_py()))
+            for k, g in enumerate(batch.column("grams")):
+                got = g.values.to_numpy()
                 first = np.searchsorted(gram, got)
                 n = np.searchsorted(gram, got, side="right") - first
                 at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                at = at[np.isin(item[at], item[at][seed[at]])]
                 which, one, of = np.unique(item[at], return_index=True, return_inverse=True)
                 enough = np.bincount(of, weights=places[at], minlength=len(which)) >= need[at[one]]
                 items.append(which[enough])
@@ -159,7 +241,17 @@ def _sharing(base: DataFrame, grams: DataFrame) -> DataFrame:
                 digests = batch.column("digest").take(pa.array(np.concatenate(rows), pa.int64()))
                 yield pa.RecordBatch.from_arrays([digests, pa.array(np.concatenate(items), pa.int64())], names=["digest", "item"])
 
-    return base.select("digest", "text").mapInArrow(run, "digest string, item bigint").distinct()
+    return found.mapInArrow(run, "digest string, item bigint").distinct()
+
+
+def _sharing_by_join(base: DataFrame, grams: DataFrame, singles: bool) -> DataFrame:
+    """``_sharing`` where the items' grams are too many to broadcast."""
+    every = _text_grams(base, None, singles).select("digest", F.explode("grams").alias("gram"))
+    found = materialize(every.join(grams.select("gram").distinct(), "gram", "left_semi").distinct(), "text-grams")
+    seeds = materialize(_seeds(grams, found.groupBy("gram").count()), "seeds")
+    met = found.join(seeds.filter("seed").select("gram", "item"), "gram").select("digest", "item").distinct()
+    shared = met.join(found, "digest").join(seeds, ["item", "gram"])
+    return shared.groupBy("digest", "item").agg(F.sum("places").alias("n"), F.max("need").alias("need")).filter("n >= need").select("digest", "item")
 
 
 def find_contamination(
@@ -168,27 +260,30 @@ def find_contamination(
 ) -> DataFrame:
     """doc_id, item_id, score, start_word, end_word for each contaminated (document, item).
 
-    ``score`` is the alignment's share of the score that the item has with itself; the word
-    range is where the copy lies. Each
-    row of docs is judged by itself, so repeated rows repeat. Null or empty texts, and items of fewer words
-    than a seed, match nothing. Items with equal ids are judged apart and reported once with the best score.
+    ``score`` is the best alignment's share of the score that the item has with itself; the word range is where it lies. A document is
+    contaminated from a score of ``min_score``, or with VERBATIM_WORDS words of the item in a row. Each
+    row of docs is judged by itself, so repeated rows repeat. Null or empty texts match nothing, nor do items of a single word,
+    which any text may use. Items with a null id are items like others, reported under a null id; items with equal ids
+    are judged apart and reported once with the best score.
 
-    One pass hashes the documents' word pairs and looks them up among the items'; only documents and
-    items that share as many as a copy must share remain as candidates.
+    One pass hashes the documents' word pairs and keeps those that items have; all up to the alignment works on these.
     Texts are met again by content digest, so copies of a text need one alignment per task.
     """
     text = F.col(f"`{text_col}`").cast("string")
     digest = F.sha2(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 256)
     tests = materialize(
         items.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-        .filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+        .filter(F.col("text").isNotNull())
         .withColumn("item", F.monotonically_increasing_id()),
         "items",
     )
     grams = materialize(_item_grams(tests, min_score), "item-grams")
+    # Single words are looked up only if there are items that need them: these have fewer grams than a pair's bound asks for.
+    longest_by_singles = max(n for n in range(1, 200) if n == 1 or by_singles(n, min_score))
+    singles = grams.groupBy("item").agg(F.sum("places").alias("n")).filter(F.col("n") <= longest_by_singles).limit(1).count() > 0
     base = docs.select(digest.alias("digest"), text.alias("text"))
     candidates = materialize(
-        _sharing(base, grams).join(tests.select("item", "item_id", F.col("text").alias("item_text")), "item"), "candidates"
+        _sharing(base, grams, singles).join(tests.select("item", "item_id", F.col("text").alias("item_text")), "item"), "candidates"
     )
     texts = docs.select(
         F.struct(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("rid")).alias("doc"),
@@ -211,28 +306,22 @@ def find_contamination(
     )
 
     def run(batches):
-        memo: dict[tuple, tuple[float, int, int]] = {}
+        hasher = Hasher()
+        memo: dict[tuple, tuple[float, int, int] | None] = {}
         for batch in batches:
             rows = []
-            last_key, doc_words = None, []
+            last_key, doc = None, None
             for key, item, t, q in zip(
                 batch.column("digest").to_pylist(), batch.column("item").to_pylist(), batch.column("text"), batch.column("item_text")
             ):
-                got = memo.get((key, item))
-                if got is None:
+                if (key, item) not in memo:
                     if key != last_key:
-                        last_key, doc_words = key, words_of(t.as_py())
-                    names: dict[bytes, int] = {}
-                    b = np.array([names.setdefault(x, len(names)) for x in words_of(q.as_py())], dtype=np.int32)
-                    a = np.array([names.get(x, -1) for x in doc_words], dtype=np.int32)
-                    # An alignment has matches for at least this share of the item's words.
-                    score, start, end = align(a, b) if np.isin(b, a).sum() >= min_score * len(b) - 1e-9 else (0, 0, 0)
-                    got = (score / (MATCH * len(b)), start, end)
+                        last_key, doc = key, hasher.words(t.as_py())
                     if len(memo) >= MEMO_WORDS:
                         memo.clear()
-                    memo[(key, item)] = got
-                rows.append(got)
-            hit = [i for i, r in enumerate(rows) if r[0] >= min_score]
+                    memo[key, item] = contamination(doc, hasher.words(q.as_py()), min_score)
+                rows.append(memo[key, item])
+            hit = [i for i, r in enumerate(rows) if r is not None]
             take = pa.array(hit, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
