@@ -97,6 +97,64 @@ def test_build_and_verify_snapshot(spark):
     assert bad == {"AAPL": None, "SPY": "checksum mismatch for file=SPY"}
 
 
+def test_expected_manifest_decides_a_build(spark):
+    vendor = scratch()
+    with open(f"{vendor}/v.csv", "w") as fh:
+        fh.write("date,open,high,low,close,volume\n2024-01-02,10,11,9,10,1\n2024-01-03,10,11,9,10,2\n")
+    req = {"schema_version": 1, "dataset_id": "fixture", "provider": "p", "symbols": ["AAPL"],
+           "start_date": "2024-01-01", "end_date": "2024-01-31", "currency": "USD"}
+    syms = spark.createDataFrame([("AAPL",)], "symbol string")
+    files = S.build_snapshot(spark, req, b"{}\n", syms, f"{vendor}/v.csv", scratch())
+    assert S.build_snapshot(spark, req, b"{}\n", syms, f"{vendor}/v.csv", scratch(), expected=files).count() == 1
+    other = files.withColumn("row_count", F.col("row_count") + 1)
+    with pytest.raises(S.SnapshotError, match="differs from expected manifest"):
+        S.build_snapshot(spark, req, b"{}\n", syms, f"{vendor}/v.csv", scratch(), expected=other)
+
+
+def test_verification_reads_each_file_once_and_judges_its_rows(spark):
+    import hashlib
+
+    folder = scratch()
+    head = "symbol,trading_date,open,high,low,close,volume,currency\n"
+    good = "X,2024-01-02,10,11,9,10,1,USD\n"
+    bodies = {
+        "OK": head + good.replace("X", "OK"),
+        "LOW": head + "LOW,2024-01-02,10,11,9,10,1,USD\nLOW,2024-01-03,10,9,11,10,1,USD\n",
+        "RANGE": head + "RANGE,2024-01-02,12,11,9,10,1,USD\n",
+        "TWICE": head + good.replace("X", "TWICE") * 2,
+        "MIXED": head + good.replace("X", "MIXED") + good.replace("X", "OTHER"),
+        "PARSE": head + "PARSE,2024-01-02,ten,11,9,10,1,USD\n",
+        "SHORT": head + "SHORT,2024-01-02,10\n",
+        "HEAD": head.replace("open", "Open") + good.replace("X", "HEAD"),
+        "EMPTY": head,
+        "BYTES": head + good.replace("X", "BYTES"),
+    }
+    entries = []
+    for name, text in bodies.items():
+        data = text.encode() if name != "BYTES" else text.encode().replace(b"USD", b"\xffSD")
+        os.makedirs(f"{folder}/file={name}")
+        with open(f"{folder}/file={name}/part-0.csv", "wb") as fh:
+            fh.write(data)
+        day = dt.date(2024, 1, 2)
+        entries.append((name, f"file={name}", hashlib.sha256(data).hexdigest(), max(1, text.count("\n") - 1), day, day))
+    manifest = spark.createDataFrame(entries, "symbol string, path string, sha256 string, row_count long, first_date date, last_date date")
+    out = S.verify_snapshot(spark, manifest, folder)
+    assert {r.symbol: r.failure for r in out.collect()} == {
+        "OK": None,
+        "LOW": "low must not exceed high in file=LOW",
+        "RANGE": "OHLC values violate the daily range in file=RANGE",
+        "TWICE": "duplicate TWICE date: 2024-01-02 in file=TWICE",
+        "MIXED": "a file contains multiple symbols in file=MIXED",
+        "PARSE": "invalid canonical row in file=PARSE",
+        "SHORT": "invalid canonical row in file=SHORT",
+        "HEAD": "file=HEAD has a non-canonical header",
+        "EMPTY": "row count mismatch for file=EMPTY",
+        "BYTES": "file=BYTES is not UTF-8",
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("binaryFile") == 1 and "csv" not in plan.replace(".csv", "")
+
+
 def test_bad_row_outside_interval_still_fails(spark):
     vendor = scratch()
     with open(f"{vendor}/v.csv", "w") as fh:

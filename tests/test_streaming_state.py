@@ -65,7 +65,7 @@ def test_a_batch_reads_its_months_only_and_folders_stay_bounded(spark, tmp_path,
 
 
 STEPS = [
-    (0, "write_batch", L), (0, "_write_dead_letters", C), (1, "write_batch", L), (1, "_write_dead_letters", C), (1, "_write_segments", S), (1, "commit", S), (1, "_prune", S),
+    (0, "write_batch", L), (0, "write_dead_letters", C), (1, "write_batch", L), (1, "write_dead_letters", C), (1, "_write_segments", S), (1, "commit", S), (1, "_prune", S),
 ]
 
 

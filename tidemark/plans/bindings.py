@@ -14,6 +14,8 @@ SQL twins are plain CTE bodies; ``with_ctes`` stitches the ones a query needs.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -274,10 +276,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _materialized(spark, sf_dir, "log", _build_log)
 
 
-def _build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").withColumn(
-        "partition", F.pmod(F.col("l_orderkey"), F.lit(LOG_PARTITIONS)).cast("int")
-    )
+def _build_log(spark: SparkSession, sf_dir: str, by: str = "l_orderkey") -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").withColumn("partition", F.pmod(F.col(by), F.lit(LOG_PARTITIONS)).cast("int"))
     idx = dense_index(li, ["partition"], LINEITEM_ORDER, out="offset")
     ev = _log_fields(idx)
     return ev.select(
@@ -326,7 +326,17 @@ def log_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _materialized(spark, sf_dir, "log_redelivered", _build_log_redelivered)
 
 
-def _build_log_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyed_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a producer with keys writes it, and the same trouble: the symbol decides the partition, so all records of
+    a price lie in one partition and batches of any cut give the same result."""
+
+    def keyed(spark, sf_dir):
+        return _materialized(spark, sf_dir, "keyed-log", lambda sp, d: _build_log(sp, d, by="l_suppkey"))
+
+    return _materialized(spark, sf_dir, "keyed-redelivered", lambda sp, d: _build_log_redelivered(sp, d, keyed))
+
+
+def _build_log_redelivered(spark: SparkSession, sf_dir: str, source=log) -> DataFrame:
     """The log as a consumer sees it after trouble:
 
     * every record of the slice (returnflag 'N', linestatus 'O') is delivered
@@ -337,7 +347,7 @@ def _build_log_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     * the record at 90 % of each odd partition is lost, so everything after
       it in that partition is a gap.
     """
-    lg = log(spark, sf_dir)
+    lg = source(spark, sf_dir)
     sl = lg.where((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
     redelivered = sl.withColumn("seq", F.col("seq") + 4)
     ends = lg.groupBy("partition").agg(F.count(F.lit(1)).alias("_n"))
@@ -453,6 +463,9 @@ CTES = {
     "log": LOG_SEQ_SQL,
     "log_redelivered": LOG_REDELIVERED_SQL,
     "checkpoints": CHECKPOINTS_SQL,
+    "keyed0": LOG_SQL.replace("l_orderkey %", "l_suppkey %"),
+    "keyed": LOG_SEQ_SQL.replace("log0", "keyed0"),
+    "keyed_redelivered": re.sub(r"\blog\b", "keyed", LOG_REDELIVERED_SQL),
     "outbox": OUTBOX_SQL,
 }
 DEPENDS = {
@@ -461,6 +474,8 @@ DEPENDS = {
     "log": ["log0"],
     "log_redelivered": ["log"],
     "checkpoints": ["log"],
+    "keyed": ["keyed0"],
+    "keyed_redelivered": ["keyed"],
     "outbox": ["bars_big"],
 }
 
@@ -480,6 +495,6 @@ def with_ctes(body: str, *names: str) -> str:
     if not order:
         return body
     # The numbered log is a sort by all columns and is read several times.
-    kept = ("log0", "log_redelivered")
+    kept = ("log0", "log_redelivered", "keyed0", "keyed_redelivered")
     ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in kept else ''}({CTES[n]})" for n in order)
     return f"WITH {ctes}\n{body}"

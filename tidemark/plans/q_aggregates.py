@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as fn
@@ -11,6 +13,8 @@ from tidemark.plans.bindings import _event_id_sql, _object_key_sql, with_ctes
 from tidemark.plans.catalog import query
 from tidemark.plans.q_joins import ACTUAL_SQL, stored_prices
 from tidemark.plans.replay import build_events, digest_tree, ordered_digest
+from tidemark.session import scratch_path
+from tidemark.sinks import archive_drain as AD
 from tidemark.sinks.files import file_content_digest
 
 EID = _event_id_sql("schema_version", "provider", "symbol", "trading_date")
@@ -77,10 +81,11 @@ def q_agg_sum_offsets(spark, sf_dir):
     ),
 )
 def q_agg_archive_objects(spark, sf_dir):
-    p = stored_prices(spark, sf_dir)
-    keys = p.select(fn.object_key("provider", "symbol", "trading_date", "event_id").alias("object_key"))
-    return keys.agg(
-        F.count_distinct("object_key").alias("archived_objects"),
-        F.count(F.lit(1)).alias("logical_prices"),
-        (F.count_distinct("object_key") == F.count(F.lit(1))).alias("one_object_per_price"),
-    )
+    """Objects of the archive that a drain has written, against the prices it was given."""
+    prices = stored_prices(spark, sf_dir).withColumn("schema_version", F.col("schema_version").cast("int"))
+    out = scratch_path(spark, "archive")
+    AD.drain(prices, out, max_attempts=1, now=dt.datetime(2024, 1, 1))
+    held = AD.read_batches(spark, out).select(fn.object_key("provider", "symbol", "trading_date", "event_id").alias("object_key"))
+    both = held.unionByName(prices.select(F.lit(1).alias("price")), allowMissingColumns=True)
+    objects, given = F.count_distinct("object_key"), F.count("price")
+    return both.agg(objects.alias("archived_objects"), given.alias("logical_prices"), (objects == given).alias("one_object_per_price"))

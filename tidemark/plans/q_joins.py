@@ -88,13 +88,13 @@ def q_join_outbox_price(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- manifests
-def expected_manifest(spark, sf_dir):
+def expected_manifest(spark, sf_dir, bars=None):
     """What a manifest promises for every supplier's file. Damage by fixed rule
     on the supplier key: tampered digest, wrong count, wrong first/last date,
     a file that was never written (suppliers without bars), an unsafe path."""
     s = B.table(spark, sf_dir, "supplier").select("s_suppkey")
     sym = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
-    actual = file_content_digest(B.bars_big(spark, sf_dir))
+    actual = file_content_digest(B.bars_big(spark, sf_dir) if bars is None else bars)
     k = F.col("s_suppkey") % 11
     exp = s.withColumn("symbol", sym).join(actual, "symbol", "left")
     return exp.select(
@@ -123,15 +123,18 @@ def actual_files(spark, sf_dir):
 
 def verify_failures(expected, actual):
     """One failure per expected file, first in the fixed order: unsafe path,
-    missing, checksum, row count, symbol, first date, last date."""
+    missing, checksum, encoding, header, rows, row count, symbol, first date, last date."""
     j = expected.join(actual, "path", "left")
-    if "a_header" not in j.columns:
-        j = j.withColumn("a_header", F.lit(HEADER))
+    for c, sound in (("a_header", F.lit(HEADER)), ("a_utf8", F.lit(True)), ("a_fault", F.lit(None).cast("string"))):
+        if c not in j.columns:
+            j = j.withColumn(c, sound)
     reason = (
         F.when(V.unsafe_path(F.col("path")), F.concat(F.lit("unsafe path "), F.col("path")))
         .when(F.col("a_sha256").isNull(), F.concat(F.lit("missing "), F.col("path")))
         .when(F.col("a_sha256") != F.col("sha256"), F.concat(F.lit("checksum mismatch for "), F.col("path")))
+        .when(~F.col("a_utf8"), F.concat(F.col("path"), F.lit(" is not UTF-8")))
         .when(F.col("a_header") != F.lit(HEADER), F.concat(F.col("path"), F.lit(" has a non-canonical header")))
+        .when(F.col("a_fault").isNotNull(), F.concat("a_fault", F.lit(" in "), "path"))
         .when(F.col("a_row_count") != F.col("row_count"), F.concat(F.lit("row count mismatch for "), F.col("path")))
         .when(F.col("a_symbol") != F.col("symbol"), F.concat(F.lit("symbol mismatch for "), F.col("path")))
         .when(F.col("a_first_date") != F.col("first_date"), F.concat(F.lit("first date mismatch for "), F.col("path")))
