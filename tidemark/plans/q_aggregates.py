@@ -7,13 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as fn
+from tidemark.operators import merkle
 from tidemark.operators.offsets import partition_ends
 from tidemark.plans import bindings as B
 from tidemark.plans.bindings import _event_id_sql, _object_key_sql, with_ctes
 from tidemark.plans.catalog import query
 from tidemark.plans.q_joins import ACTUAL_SQL, stored_prices
-from tidemark.plans.replay import build_events, digest_tree, ordered_digest
-from tidemark.session import scratch_path
+from tidemark.plans.replay import build_events, digest_tree, plan_positions
+from tidemark.session import materialize, scratch_path
 from tidemark.sinks import archive_drain as AD
 from tidemark.sinks.files import file_content_digest
 
@@ -25,17 +26,25 @@ def q_agg_manifest_files(spark, sf_dir):
     return file_content_digest(B.bars_big(spark, sf_dir))
 
 
-@query(
-    "agg_ordered_digest",
-    with_ctes(
-        f"""SELECT count(*) AS events,
-                   sha256(string_agg({EID} || chr(10), '' ORDER BY trading_date, symbol)) AS ordered_event_sha256
-            FROM bars""",
-        "bars",
-    ),
-)
+def _merkle_sql(source: str, levels: int = 4) -> str:
+    """Range digests and the levels above them, plainly: the root is the first level with one node."""
+    ctes = [
+        f"p AS (SELECT {EID} AS event_id, row_number() OVER (ORDER BY trading_date, symbol) - 1 AS position FROM {source})",
+        f"l0 AS (SELECT position // {merkle.RANGE} AS k, sha256(string_agg(event_id || chr(10), '' ORDER BY position)) AS d FROM p GROUP BY position // {merkle.RANGE})",
+    ]
+    for i in range(1, levels):
+        ctes.append(f"l{i} AS (SELECT k // {merkle.FANOUT} AS k, sha256(string_agg(d || chr(10), '' ORDER BY l{i - 1}.k)) AS d FROM l{i - 1} GROUP BY l{i - 1}.k // {merkle.FANOUT})")
+    tops = " UNION ALL ".join(f"SELECT {i} AS l, count(*) AS n, max(d) AS d FROM l{i}" for i in range(levels))
+    return ", ".join(ctes) + f"""
+        SELECT (SELECT count(*) FROM p) AS events, (SELECT count(*) FROM l0) AS ranges,
+               (SELECT d FROM ({tops}) t WHERE n = 1 ORDER BY l LIMIT 1) AS merkle_root"""
+
+
+@query("agg_ordered_digest", with_ctes("SELECT 1", "bars_big").replace("\nSELECT 1", ", " + _merkle_sql("bars_big")))
 def q_agg_ordered_digest(spark, sf_dir):
-    return ordered_digest(build_events(B.bars(spark, sf_dir)))
+    """Digest of the whole ordered replay plan as the root of a tree over ranges of positions."""
+    positions = materialize(plan_positions(build_events(B.bars_big(spark, sf_dir))).select("event_id", "position"), "positions")
+    return merkle.merkle_root(merkle.merkle_tree(positions))
 
 
 @query(

@@ -354,14 +354,14 @@ def q_fn_dlq_envelope(spark, sf_dir):
                strftime(trading_date, '%Y-%m-%d') AS trading_date,
                {canon_sql('open')} AS open, {canon_sql('high')} AS high, {canon_sql('low')} AS low,
                {canon_sql('close')} AS close, volume, currency, snapshot_id
-            FROM bars""",
-        "bars",
+            FROM bars_big""",
+        "bars_big",
     ),
 )
 def q_fn_build_event(spark, sf_dir):
     from tidemark.plans.replay import build_events
 
-    return build_events(B.bars(spark, sf_dir))
+    return build_events(B.bars_big(spark, sf_dir))
 
 
 @query(

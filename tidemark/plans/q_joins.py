@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as fn
@@ -11,7 +13,8 @@ from tidemark.plans import bindings as B
 from tidemark.plans.bindings import _event_id_sql, with_ctes
 from tidemark.plans.catalog import query
 from tidemark.plans.q_core import event_reason_sql, parse_date_sql, parse_dec_sql
-from tidemark.session import guarded_broadcast
+from tidemark.session import guarded_broadcast, scratch_path
+from tidemark.sinks import price_table
 from tidemark.sinks.files import file_content_digest
 
 KEY = ["provider", "symbol", "trading_date"]
@@ -23,6 +26,20 @@ def stored_prices(spark, sf_dir):
     return b.select(fn.event_id("schema_version", "provider", "symbol", "trading_date").alias("event_id"), "*")
 
 
+_TABLES: dict[tuple[str, str], tuple[str, int]] = {}
+
+
+def stored_table(spark, sf_dir) -> tuple[str, int]:
+    """Name and buckets of the stored prices' table, written once per session like the log."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        name, buckets = f"stored_prices_{uuid.uuid4().hex[:12]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+        price_table.open_table(spark, name, scratch_path(spark, "price-table"), buckets)
+        price_table.add_prices(stored_prices(spark, sf_dir).withColumn("schema_version", F.col("schema_version").cast("int")), name, buckets)
+        _TABLES[key] = name, buckets
+    return _TABLES[key]
+
+
 STORED_SQL = f"SELECT {_event_id_sql('schema_version', 'provider', 'symbol', 'trading_date')} AS event_id, * FROM bars_big"
 
 
@@ -43,8 +60,8 @@ STORED_SQL = f"SELECT {_event_id_sql('schema_version', 'provider', 'symbol', 'tr
 def q_join_existing_price(spark, sf_dir):
     j = V.val_event_contract(B.log(spark, sf_dir)).where(F.col("reject_reason").isNull())
     ev = j.select("topic", "partition", "offset", "provider", "symbol", F.col("p_trading_date").alias("trading_date"), "p_close")
-    st = stored_prices(spark, sf_dir).select(*KEY, "event_id", F.col("close").alias("stored_close"))
-    return ev.join(st, KEY, "left").select(
+    met = price_table.meet_prices(ev, *stored_table(spark, sf_dir), ["event_id", "close"])
+    return met.withColumnRenamed("close", "stored_close").select(
         "topic",
         "partition",
         "offset",

@@ -111,13 +111,13 @@ def q_sort_rows_by_date(spark, sf_dir):
 @query(
     "sort_replay",
     with_ctes(
-        f"""SELECT {EID} AS event_id, strftime(trading_date, '%Y-%m-%d') AS trading_date, symbol FROM bars
+        f"""SELECT {EID} AS event_id, strftime(trading_date, '%Y-%m-%d') AS trading_date, symbol FROM bars_big
             ORDER BY trading_date, symbol""",
-        "bars",
+        "bars_big",
     ),
 )
 def q_sort_replay(spark, sf_dir):
-    ev = build_events(B.bars(spark, sf_dir))
+    ev = build_events(B.bars_big(spark, sf_dir))
     return ev.orderBy(*REPLAY_ORDER).select("event_id", "trading_date", "symbol")
 
 
