@@ -76,7 +76,7 @@ def test_stored_prices_are_met_in_place(spark, tmp_path):
         assert out.where("event_id is null").count() == 1 and out.count() == prices.where("symbol = 'S1'").count() + 1
         plan = out._jdf.queryExecution().executedPlan().toString()
         # the only exchange is the batch's: the stored side goes from its scan to the join in place
-        assert plan.count("Exchange") == 1 and plan.index("FileScan parquet") > plan.index("Exchange")
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.index("FileScan parquet") > plan.index("Exchange hashpartitioning")
         # opened again, with its buckets
         spark.sql("DROP TABLE prices_in_place")
         assert P.open_table(spark, "prices_in_place", path, 4).count() == 400
