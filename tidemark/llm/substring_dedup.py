@@ -169,10 +169,11 @@ def _later(units: DataFrame) -> DataFrame:
     rank = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("pos")]
     place = F.struct(rank[0].alias("unnamed"), "doc_id", "rid", "pos", "gap")
     hot_first = materialize(units.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest").agg(F.min(place).alias("first")), "hot-first")
-    marked = units.join(F.broadcast(hot_first), "digest", "left")
-    in_order = Window.partitionBy("digest").orderBy(*rank)
-    cold = marked.filter(F.col("first").isNull()).withColumn("first", F.first(place).over(in_order))
-    both = cold.unionByName(marked.filter(F.col("first").isNotNull()))
+    # The left join keeps one row per unit. In the shuffle each hot unit is a group of its own.
+    marked = units.join(F.broadcast(hot_first.withColumnRenamed("first", "hot_first")), "digest", "left")
+    alone = F.when(F.col("hot_first").isNotNull(), F.xxhash64("rid", "pos")).otherwise(0)
+    in_order = Window.partitionBy("digest", "alone").orderBy(*rank)
+    both = marked.withColumn("alone", alone).withColumn("first", F.coalesce("hot_first", F.first(place).over(in_order)))
     # Not the first itself, and none that overlaps its own first occurrence.
     later = both.filter((F.col("rid") != F.col("first.rid")) | (F.col("pos") >= F.col("first.pos") + F.col("words")))
     return later.select(
