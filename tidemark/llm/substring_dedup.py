@@ -165,12 +165,13 @@ def _later(units: DataFrame) -> DataFrame:
     hot group is met in it.
     """
     bound = max(1, int(units.count() * HOT_SHARE))
-    hot = materialize(units.groupBy("digest").count().filter(F.col("count") > bound).select("digest"), "hot-units")
+    counted = units.groupBy("digest").count().filter(F.col("count") > bound)
+    hot = [r["digest"] for r in counted.select("digest").collect()]  # at most 1 / HOT_SHARE
     rank = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("pos")]
     place = F.struct(rank[0].alias("unnamed"), "doc_id", "rid", "pos", "gap")
-    hot_first = materialize(units.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest").agg(F.min(place).alias("first")), "hot-first")
+    hot_first = materialize(units.filter(F.col("digest").isin(hot)).groupBy("digest").agg(F.min(place).alias("hot_first")), "hot-first")
     # The left join keeps one row per unit. In the shuffle each hot unit is a group of its own.
-    marked = units.join(F.broadcast(hot_first.withColumnRenamed("first", "hot_first")), "digest", "left")
+    marked = units.join(F.broadcast(hot_first), "digest", "left")
     alone = F.when(F.col("hot_first").isNotNull(), F.xxhash64("rid", "pos")).otherwise(0)
     in_order = Window.partitionBy("digest", "alone").orderBy(*rank)
     both = marked.withColumn("alone", alone).withColumn("first", F.coalesce("hot_first", F.first(place).over(in_order)))
