@@ -128,12 +128,11 @@ def least_grams(words: int, min_score: float) -> int:
 
 def reachable(doc: np.ndarray, item: np.ndarray, min_score: float) -> list[tuple[int, int]]:
     """Stretches of doc (word hashes) that hold every alignment over the threshold: around each shared gram as far as such an alignment
-    can be long, which is its matches, at most the item's words, and the mismatches and gaps that its score leaves."""
+    can be long, which is its matches, at most the item's words, and the mismatches and gaps that its score leaves. A
+    stretch without the grams that a copy must have holds none."""
     n = len(item)
-    if by_singles(n, min_score):
-        at = np.flatnonzero(np.isin(doc, item))
-    else:
-        at = np.flatnonzero(np.isin(Hasher.pairs(doc), Hasher.pairs(item)))
+    mine, theirs = (doc, item) if by_singles(n, min_score) else (Hasher.pairs(doc), Hasher.pairs(item))
+    at = np.flatnonzero(np.isin(mine, theirs))
     reach = n + math.ceil(2 * n * (1 - min_score))
     out: list[list[int]] = []
     for p in at.tolist():
@@ -142,7 +141,8 @@ def reachable(doc: np.ndarray, item: np.ndarray, min_score: float) -> list[tuple
             out[-1][1] = hi
         else:
             out.append([lo, hi])
-    return [(a, b) for a, b in out]
+    need = least_grams(n, min_score)
+    return [(a, b) for a, b in out if np.isin(theirs, mine[a:b]).sum() >= need]
 
 
 def contamination(doc: np.ndarray, item: np.ndarray, min_score: float) -> tuple[float, int, int] | None:
