@@ -36,3 +36,26 @@ def test_the_log_is_stored_in_narrow_columns(spark, sf_dir):
         assert "l_extendedprice" in read and "event_id" not in read and "trading_date" not in read
         # the lost offsets and the partition ends are broadcast, no record is shuffled
         assert "Exchange hashpartitioning(partition" not in physical(frame)
+
+
+def test_carried_columns_come_with_the_same_verdicts(spark):
+    recs, cks = random_batches(12, seed=3)
+    df = spark.createDataFrame(recs, SCHEMA).withColumn("mine", F.concat(F.lit("m"), F.col("seq").cast("string")))
+    ck = spark.createDataFrame(cks, "topic string, partition int, next_offset long")
+    place = ["topic", "partition", "offset", "seq"]
+    verdict = lambda out: sorted(tuple(r) for r in out.select(*place, "disposition", F.coalesce("error", F.lit(""))).collect())
+    narrow = D.apply_events(df, ck, carry=["mine"])
+    assert verdict(narrow) == verdict(D.apply_events(df, ck))
+    assert "t_close" not in narrow.columns and all(r.mine == f"m{r.seq}" for r in narrow.collect())
+
+
+def test_event_ids_come_back_and_stored_prices_are_told_apart(spark):
+    good, bad = ev(), ev(day="2024-01-03", valid=False)
+    first = D.apply_events(spark.createDataFrame([rec(0, 0, good), rec(1, 1, bad)], SCHEMA))
+    assert {r.offset: r.t_event_id for r in first.collect()} == {0: good["event_id"], 1: "wrong"}
+    stored = L.prices_view(first)
+    ck = D.next_offsets(first)
+    again = spark.createDataFrame([rec(2, 2, good)], SCHEMA)
+    other = stored.withColumn("event_id", F.lit("other"))
+    for prices, want in ((stored, "duplicate"), (other, "conflict"), (stored.withColumn("volume", F.lit(None).cast("long")), "conflict")):
+        assert [r.disposition for r in D.apply_events(again, ck, prices).collect()] == [want]
