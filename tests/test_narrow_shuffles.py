@@ -13,7 +13,7 @@ from tidemark.operators import dispositions as D
 from tidemark.operators import ledger as L
 from tidemark.operators.offsets import dense_index
 from tidemark.plans import bindings as B
-from tidemark.sinks import archive_drain as AD
+from tidemark.plans.q_jobs import ledger
 from tidemark.sinks import price_table as P
 
 
@@ -59,3 +59,30 @@ def test_event_ids_come_back_and_stored_prices_are_told_apart(spark):
     other = stored.withColumn("event_id", F.lit("other"))
     for prices, want in ((stored, "duplicate"), (other, "conflict"), (stored.withColumn("volume", F.lit(None).cast("long")), "conflict")):
         assert [r.disposition for r in D.apply_events(again, ck, prices).collect()] == [want]
+
+
+def test_a_batch_of_prices_is_shuffled_once(spark, tmp_path):
+    one = price(spark, "A", 1).drop("trading_date", "event_id")
+    days = spark.range(300).select(
+        F.date_add(F.lit(dt.date(2020, 1, 1)), F.col("id").cast("int")).alias("trading_date"), F.col("id").cast("string").alias("event_id")
+    )
+    prices = days.crossJoin(one)
+    P.open_table(spark, "prices_once", f"{tmp_path}/prices", 4)
+    try:
+        P.add_prices(prices.where("event_id < '2'"), "prices_once", 4)
+        new = P.new_prices(prices.unionByName(prices.withColumn("event_id", F.concat("event_id", F.lit("x")))), "prices_once", 4)
+        assert physical(new.hint("merge")).count("Exchange hashpartitioning") == 1
+        assert {r.event_id for r in new.collect()} == {str(i) for i in range(300) if not str(i) < "2"}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS prices_once")
+
+
+def test_ledger_prices_are_shuffled_once_to_their_buckets(spark, sf_dir, tmp_path):
+    prices = L.prices_view(ledger(spark, sf_dir))
+    P.open_table(spark, "ledger_prices_once", f"{tmp_path}/prices", 8, prices.schema)
+    try:
+        new = P.new_prices(prices, "ledger_prices_once", 8)
+        assert physical(new.hint("merge")).count("Exchange hashpartitioning") == 1
+        assert new.count() == prices.count() > 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS ledger_prices_once")
