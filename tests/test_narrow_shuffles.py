@@ -14,6 +14,7 @@ from tidemark.operators import ledger as L
 from tidemark.operators.offsets import dense_index
 from tidemark.plans import bindings as B
 from tidemark.plans.q_jobs import ledger
+from tidemark.sinks import archive_drain as AD
 from tidemark.sinks import price_table as P
 
 
@@ -86,3 +87,18 @@ def test_ledger_prices_are_shuffled_once_to_their_buckets(spark, sf_dir, tmp_pat
         assert new.count() == prices.count() > 0
     finally:
         spark.sql("DROP TABLE IF EXISTS ledger_prices_once")
+
+
+def test_bars_take_first_and_last_prices_without_the_later_columns(spark, sf_dir):
+    bars = B.bars_big(spark, sf_dir)
+    aggregate = [line for line in physical(bars).splitlines() if "SortAggregate" in line]
+    assert aggregate and not any("l_returnflag" in line or "l_tax" in line for line in aggregate)
+
+
+def test_repeated_prices_are_archived_once(spark, tmp_path):
+    two = price(spark, "A", 2).unionByName(price(spark, "B", 3))
+    now = dt.datetime(2024, 1, 1)
+    assert AD.drain(two.unionByName(two), f"{tmp_path}/archive", 2, now) == 2
+    three = two.unionByName(two).unionByName(price(spark, "C", 4))
+    assert AD.drain(three, f"{tmp_path}/archive", 2, now) == 1
+    assert AD.read_batches(spark, f"{tmp_path}/archive").count() == 3
