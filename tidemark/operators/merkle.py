@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import scalar as fn
 from tidemark.session import materialize
 
 RANGE = 1024
@@ -31,9 +32,11 @@ def merkle_tree(events: DataFrame) -> DataFrame:
 
     No group holds more than RANGE events or FANOUT nodes. Levels are stored, as each is read by the next.
     """
-    leaves = events.select("event_id", "position", F.floor(F.col("position") / RANGE).cast("bigint").alias("idx"))
+    leaves = events.select(fn.pack_id("event_id").alias("_id"), "position", F.floor(F.col("position") / RANGE).cast("bigint").alias("idx"))
+    # Moved as bytes, made text again where the range is digested.
+    dealt = leaves.repartition("idx").select(fn.unpack_id("_id").alias("event_id"), "position", "idx")
     level = materialize(
-        leaves.groupBy("idx").agg(F.count(F.lit(1)).alias("events"), _digest("event_id", "position").alias("digest")), "merkle-0"
+        dealt.groupBy("idx").agg(F.count(F.lit(1)).alias("events"), _digest("event_id", "position").alias("digest")), "merkle-0"
     )
     nodes, tree, k = level.count(), level.withColumn("level", F.lit(0)), 0
     while nodes > 1:
