@@ -31,7 +31,7 @@ ORDER = 4
 # Text bytes of a chunk, at which it is closed.
 CHUNK_BYTES = 32_000_000
 # Bytes whose grams are sorted at once.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 1_000_000
 END = 0x0A
 ALPHABET = 256
 GRAM, WORD = 0, 1
