@@ -31,7 +31,11 @@ ORDER = 4
 # Text bytes of a chunk, at which it is closed.
 CHUNK_BYTES = 32_000_000
 # Bytes whose grams are sorted at once.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 250_000
+# Ranges of keys in which the sorted blocks of a chunk are merged, one after the other.
+PIECES = 16
+# Rows of a batch that leaves a Python worker.
+NEED_ROWS = 50_000
 END = 0x0A
 ALPHABET = 256
 GRAM, WORD = 0, 1
@@ -85,6 +89,10 @@ class ChunkBuilder:
         self.streams.append(stream)
         self.size += len(stream)
 
+    def clear(self) -> None:
+        """Lets go of what the chunk's last rows do not need."""
+        self.streams, self.counts = [], {}
+
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct grams of all documents with their counts in training documents."""
         seen_keys, seen_n = [], []
@@ -101,33 +109,61 @@ class ChunkBuilder:
                     seen_keys.append(keys)
                     seen_n.append(n if train else np.zeros(len(keys), dtype=np.int64))
                     part, size = [], 0
-        keys, inverse = np.unique(np.concatenate(seen_keys), return_inverse=True)
-        return keys, np.bincount(inverse, weights=np.concatenate(seen_n), minlength=len(keys)).astype(np.int64)
+                    # Blocks are merged as soon as they outgrow what is merged already.
+                    if sum(len(x) for x in seen_keys[1:]) > max(len(seen_keys[0]), BLOCK_BYTES):
+                        merged = _merged(seen_keys, seen_n)
+                        seen_keys, seen_n = [merged[0]], [merged[1]]
+        return _merged(seen_keys, seen_n)
+
+
+def _merged(parts: list[np.ndarray], counts: list[np.ndarray], pieces: int = PIECES) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of sorted parts with their summed counts, a piece of the key range at a time, so
+    that what is sorted and copied at once is a fraction of the parts."""
+    longest = max(parts, key=len)
+    bounds = longest[[len(longest) * p // pieces for p in range(1, pieces)]] if len(longest) else longest
+    cuts = [np.concatenate([[0], np.searchsorted(k, bounds), [len(k)]]) for k in parts]
+    keys, totals = [], []
+    for p in range(len(bounds) + 1):
+        k, inverse = np.unique(np.concatenate([x[c[p] : c[p + 1]] for x, c in zip(parts, cuts)]), return_inverse=True)
+        n = np.concatenate([x[c[p] : c[p + 1]] for x, c in zip(counts, cuts)])
+        keys.append(k)
+        totals.append(np.bincount(inverse, weights=n, minlength=len(k)).astype(np.int64))
+    return np.concatenate(keys), np.concatenate(totals)
 
 
 def _chunk_rows(chunk: int, docs: ChunkBuilder):
-    """The 'text' row of a chunk and its 'need' rows as two Arrow batches."""
-    blob = b"".join(docs.streams)
+    """The 'text' row of a chunk, then its 'need' rows, as Arrow batches of at most NEED_ROWS rows."""
+    text = _text_row(chunk, docs)
+    yield text
     word_keys = np.array([word_key(w) for w in docs.counts], dtype=np.int64)
     word_n = np.fromiter(docs.counts.values(), dtype=np.int64, count=len(docs.counts))
     keys, n = docs.grams()
-    kind = np.concatenate([np.full(len(keys), GRAM, np.int32), np.full(len(word_keys), WORD, np.int32)])
-    total = len(kind)
-    none = pa.nulls(total)
-    need = pa.RecordBatch.from_arrays(
+    docs.clear()
+    for kind, k, c in ((GRAM, keys.view(np.int64), n), (WORD, word_keys, word_n)):
+        for at in range(0, len(k), NEED_ROWS):
+            yield _need_rows(chunk, kind, k[at : at + NEED_ROWS], c[at : at + NEED_ROWS])
+
+
+def _need_rows(chunk: int, kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(keys))
+    return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.full(total, chunk, np.int64)),
-            pa.array(kind),
-            pa.array(np.concatenate([keys.astype(np.int64), word_keys])),
-            pa.array(np.concatenate([n, word_n])),
+            pa.array(np.full(len(keys), chunk, np.int64)),
+            pa.array(np.full(len(keys), kind, np.int32)),
+            pa.array(keys),
+            pa.array(n),
             none.cast(pa.list_(pa.int64())),
             none.cast(pa.list_(pa.bool_())),
             none.cast(pa.binary()),
-            pa.array(np.full(total, "need")),
+            pa.array(np.full(len(keys), "need")),
         ],
         names=NAMES,
     )
-    text = pa.RecordBatch.from_arrays(
+
+
+def _text_row(chunk: int, docs: ChunkBuilder) -> pa.RecordBatch:
+    blob = b"".join(docs.streams)
+    return pa.RecordBatch.from_arrays(
         [
             pa.array([chunk], pa.int64()),
             pa.array([None], pa.int32()),
@@ -140,7 +176,6 @@ def _chunk_rows(chunk: int, docs: ChunkBuilder):
         ],
         names=NAMES,
     )
-    return text, need
 
 
 NAMES = ["chunk", "kind", "key", "n", "ids", "held", "blob", "part"]
