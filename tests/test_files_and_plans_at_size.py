@@ -37,7 +37,7 @@ def test_files_of_a_small_log_do_not_follow_from_shuffle_partitions(spark, tmp_p
     records = spark.range(4000).selectExpr(
         "'t' AS topic", "cast(id % 4 AS int) AS partition", "id div 4 AS offset", "cast('k' AS binary) AS key", "cast('v' AS binary) AS value"
     )
-    EL.write_event_log(records, f"{tmp_path}/log")
+    EL.write_event_log(records, f"{tmp_path}/log", by_size=True)
     assert len(glob.glob(f"{tmp_path}/log/*/*/*.parquet")) == 4
     assert EL.read_event_log(spark, f"{tmp_path}/log").distinct().count() == 4000
 

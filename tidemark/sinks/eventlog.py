@@ -15,15 +15,16 @@ from tidemark.schemas import SOURCE_RECORD
 from tidemark.session import path_exists
 
 
-def write_event_log(records: DataFrame, root: str, mode: str = "append") -> None:
+def write_event_log(records: DataFrame, root: str, mode: str = "append", by_size: bool = False) -> None:
     """Append a batch of log records; each (topic, partition) folder gets the
     batch's records for that partition in files of consecutive offset ranges, so
-    a partition that holds most of the log is written by many tasks. The ranges'
-    number is not fixed, so small ones are put together and files follow from the
-    batch's size: a reader pays for every file, a stream for every few files."""
+    a partition that holds most of the log is written by many tasks. ``by_size``: the
+    ranges' number is not fixed, so small ones are put together and files follow from the
+    batch's size, for a log that is streamed: a stream pays for every few files."""
+    n = [] if by_size else [int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))]
     (
         records.select(*[f.name for f in SOURCE_RECORD.fields])
-        .repartitionByRange("topic", "partition", "offset")
+        .repartitionByRange(*n, "topic", "partition", "offset")
         .sortWithinPartitions("topic", "partition", "offset")
         .write.mode(mode)
         .partitionBy("topic", "partition")
