@@ -12,9 +12,11 @@ on the way. Items so short that need is 0 have single words in place of pairs, o
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,9 +37,16 @@ MEMO_WORDS = 500_000
 BROADCAST_GRAMS = 2_000_000
 # Candidate documents' keys are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
 BROADCAST_KEYS = 4_000_000
+# Texts are hashed in blocks of neighbouring ones of up to so many bytes, and met with items in blocks of so many (gram, item).
+BLOCK_BYTES = 1 << 20
+BLOCK_GRAMS = 1 << 18
+# Words longer than this many bytes are hashed one by one.
+LONG_WORD = 512
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MARKS = b".,;:!?\"'()[]{}"
+# By a number of bytes: the bits that so many bytes fill, of eight.
+_FILLED = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -46,23 +55,83 @@ def words_of(text: str | None) -> list[bytes]:
     return [w.strip(_MARKS) or w for w in ws]
 
 
+def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring rows whose sizes add up to at most ``most``; a larger row is a range of its own."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(32)
+
+
+def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in turn, as ``words_of`` gives them, and where each text's begin, then the end.
+
+    Eight bytes of all words are mixed in at once, so the cost does not depend on how many different words there are.
+    """
+    # Cast only after the first function: Arrow misreads a slice that has been cast.
+    lower = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_string())
+    split = pc.ascii_split_whitespace(lower)
+    whole = split.values
+    filled = pc.greater(pc.binary_length(whole), 0)
+    # Text that begins or ends in white space has an empty string there.
+    begin = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[split.offsets.to_numpy()]
+    if begin[-1] < len(whole):
+        whole = whole.filter(filled)
+    words = pc.ascii_trim(whole, characters=_MARKS.decode())
+    bare = pc.equal(pc.binary_length(words), 0)
+    if pc.any(bare).as_py():
+        words = pc.if_else(bare, whole, words)
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64), begin
+    _, edges, data = words.buffers()
+    edges = np.frombuffer(edges, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.concatenate([np.frombuffer(data, dtype=np.uint8), np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    at, size = edges[:-1], np.diff(edges)
+    h = _mixed(size.astype(np.uint64) * _MIX ^ eight[at] & _FILLED[np.minimum(size, 8)])
+    done, more = 8, np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    while len(more):
+        h[more] = _mixed(h[more] * _MIX ^ eight[at[more] + done] & _FILLED[np.minimum(size[more] - done, 8)])
+        done += 8
+        more = more[size[more] > done]
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        h[k] = xxhash.xxh64_intdigest(data[edges[k] : edges[k + 1]])
+    return h, begin
+
+
+def _hashed(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last (exclusive) row of blocks of texts, with ``hash_words`` of these."""
+    for lo, hi in _blocks(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), BLOCK_BYTES):
+        yield lo, hi, *hash_words(texts.slice(lo, hi - lo))
+
+
+class GramSet:
+    """Distinct grams to look others up in: a table by the last bits spares most others the search."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams, self.counts = np.unique(grams, return_counts=True)
+        bits = min(max((64 * len(self.grams)).bit_length(), 10), 24)
+        self.last = self.grams.dtype.type((1 << bits) - 1)
+        self.table = np.zeros(1 << bits, dtype=bool)
+        self.table[self.grams & self.last] = True
+
+    def places(self, grams: np.ndarray) -> np.ndarray:
+        """Places of those ``grams`` that are in the set."""
+        at = np.flatnonzero(self.table[grams & self.last])
+        near = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
+        return at[self.grams[near] == grams[at]]
+
+
 class Hasher:
-    """64-bit hashes of the words of a text, as ``words_of`` gives them, and of its grams."""
-
-    def __init__(self):
-        self.memo: dict[bytes, int] = {}
-
-    def words(self, text: str | None) -> np.ndarray:
-        memo = self.memo
-        if len(memo) >= MEMO_WORDS:
-            memo.clear()
-        ws = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        got = list(map(memo.get, ws))
-        if None in got:
-            for i, w in enumerate(ws):
-                if got[i] is None:
-                    got[i] = memo[w] = xxhash.xxh64_intdigest(w.strip(_MARKS) or w)
-        return np.array(got, dtype=np.uint64)
+    """64-bit hashes of the grams of a text from those of its words."""
 
     @staticmethod
     def pairs(h: np.ndarray) -> np.ndarray:
@@ -132,7 +201,9 @@ def reachable(doc: np.ndarray, item: np.ndarray, min_score: float) -> list[tuple
     stretch without the grams that a copy must have holds none."""
     n = len(item)
     mine, theirs = (doc, item) if by_singles(n, min_score) else (Hasher.pairs(doc), Hasher.pairs(item))
-    at = np.flatnonzero(np.isin(mine, theirs))
+    grams = GramSet(theirs)
+    at = grams.places(mine)
+    found = mine[at]
     reach = n + math.ceil(2 * n * (1 - min_score))
     out: list[list[int]] = []
     for p in at.tolist():
@@ -142,7 +213,9 @@ def reachable(doc: np.ndarray, item: np.ndarray, min_score: float) -> list[tuple
         else:
             out.append([lo, hi])
     need = least_grams(n, min_score)
-    return [(a, b) for a, b in out if np.isin(theirs, mine[a:b]).sum() >= need]
+    most = int(grams.counts.max(initial=0))
+    within = np.searchsorted(at, np.array(out, dtype=np.int64).reshape(-1, 2)).tolist()
+    return [(a, b) for (a, b), (i, j) in zip(out, within) if (j - i) * most >= need and np.isin(theirs, found[i:j]).sum() >= need]
 
 
 def contamination(doc: np.ndarray, item: np.ndarray, min_score: float) -> tuple[float, int, int] | None:
@@ -165,40 +238,51 @@ def _item_grams(tests: DataFrame, min_score: float) -> DataFrame:
     """(item, gram, places, need): an item's distinct grams, how often each is in it, and least_grams of the item."""
 
     def run(batches):
-        hasher = Hasher()
         for batch in batches:
-            for item, t in zip(batch.column("item").to_pylist(), batch.column("text")):
-                h = hasher.words(t.as_py())
-                if len(h) < 2:
-                    continue
-                gram, places = np.unique(hasher.singles(h) if by_singles(len(h), min_score) else hasher.pairs(h), return_counts=True)
-                n, need = len(gram), least_grams(len(h), min_score)
-                columns = [np.full(n, item), gram, places, np.full(n, need)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["item", "gram", "places", "need"])
+            names = batch.column("item").to_pylist()
+            for lo, hi, words, begin in _hashed(batch.column("text")):
+                for item, h in zip(names[lo:hi], np.split(words, begin[1:-1])):
+                    if len(h) < 2:
+                        continue
+                    gram, places = np.unique(Hasher.singles(h) if by_singles(len(h), min_score) else Hasher.pairs(h), return_counts=True)
+                    n, need = len(gram), least_grams(len(h), min_score)
+                    columns = [np.full(n, item), gram, places, np.full(n, need)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["item", "gram", "places", "need"])
 
     return tests.select("item", "text").mapInArrow(run, "item bigint, gram bigint, places bigint, need bigint")
 
 
+def _grams(words: np.ndarray, begin: np.ndarray, known: GramSet | None, singles: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(row, gram): distinct grams of each text of ``hash_words`` that are ``known`` (None: all), by row and gram."""
+    rows, grams = [], []
+    for wide, got in [(2, Hasher.pairs(words))] + [(1, Hasher.singles(words))] * singles:
+        at = np.arange(len(got)) if known is None else known.places(got)
+        row = np.searchsorted(begin, at, side="right") - 1
+        # The last word of a text and the first of the next are no pair.
+        inside = at + wide <= begin[row + 1]
+        rows.append(row[inside])
+        grams.append(got[at[inside]])
+    row, gram = np.concatenate(rows), np.concatenate(grams)
+    order = np.lexsort((gram, row))
+    row, gram = row[order], gram[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+    return row[new], gram[new]
+
+
 def _text_grams(base: DataFrame, known: np.ndarray | None, singles: bool) -> DataFrame:
-    """(digest, grams): distinct grams of (digest, text) that are ``known`` (sorted; None: all); texts without one give no row."""
+    """(digest, grams): distinct grams of (digest, text) that are ``known`` (None: all); texts without one give no row."""
 
     def run(batches):
-        hasher = Hasher()
+        wanted = None if known is None else GramSet(known)
         for batch in batches:
-            got, rows = [], []
-            for k, t in enumerate(batch.column("text")):
-                h = hasher.words(t.as_py())
-                grams = np.concatenate([hasher.pairs(h), hasher.singles(h)]) if singles else hasher.pairs(h)
-                if known is not None and len(grams):
-                    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                    grams = grams[known[at] == grams]
-                if len(grams):
-                    got.append(np.unique(grams))
-                    rows.append(k)
-            if rows:
-                ends = np.cumsum([0] + [len(g) for g in got]).astype(np.int32)
-                arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got), pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("digest").take(pa.array(rows, pa.int64())), arrays], names=["digest", "grams"])
+            for lo, _, words, begin in _hashed(batch.column("text")):
+                row, gram = _grams(words, begin, wanted, singles)
+                rows, n = np.unique(row, return_counts=True)
+                if len(rows):
+                    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(gram, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([batch.column("digest").take(pa.array(lo + rows, pa.int64())), arrays], names=["digest", "grams"])
 
     return base.select("digest", "text").mapInArrow(run, "digest string, grams array<bigint>")
 
@@ -224,22 +308,28 @@ def _sharing(base: DataFrame, grams: DataFrame, singles: bool) -> DataFrame:
     table = _seeds(grams, counts).toArrow().sort_by("gram")
     gram, item, places, need, seed = (table.column(c).to_numpy() for c in ("gram", "item", "places", "need", "seed"))
 
+    names, one, code = np.unique(item, return_index=True, return_inverse=True)
+    need = need[one]
+
     def run(batches):
         for batch in batches:
-            rows, items = [], []
-            for k, g in enumerate(batch.column("grams")):
-                got = g.values.to_numpy()
-                first = np.searchsorted(gram, got)
-                n = np.searchsorted(gram, got, side="right") - first
-                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-                at = at[np.isin(item[at], item[at][seed[at]])]
-                which, one, of = np.unique(item[at], return_index=True, return_inverse=True)
-                enough = np.bincount(of, weights=places[at], minlength=len(which)) >= need[at[one]]
-                items.append(which[enough])
-                rows.append(np.full(len(items[-1]), k))
-            if rows:
-                digests = batch.column("digest").take(pa.array(np.concatenate(rows), pa.int64()))
-                yield pa.RecordBatch.from_arrays([digests, pa.array(np.concatenate(items), pa.int64())], names=["digest", "item"])
+            lists = batch.column("grams")
+            got = lists.flatten().to_numpy()
+            begin = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+            first = np.searchsorted(gram, got)
+            met = np.searchsorted(gram, got, side="right") - first
+            upto = np.concatenate([[0], np.cumsum(met)])[begin]
+            for lo, hi in _blocks(np.diff(upto), BLOCK_GRAMS):
+                part = slice(begin[lo], begin[hi])
+                n = met[part]
+                at = np.repeat(first[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                pair = np.repeat(np.arange(lo, hi), np.diff(upto[lo : hi + 1])) * len(names) + code[at]
+                seeded = np.isin(pair, pair[seed[at]])
+                pairs, of = np.unique(pair[seeded], return_inverse=True)
+                rows, which = np.divmod(pairs, len(names))
+                enough = np.bincount(of, weights=places[at[seeded]], minlength=len(pairs)) >= need[which]
+                digests = batch.column("digest").take(pa.array(rows[enough], pa.int64()))
+                yield pa.RecordBatch.from_arrays([digests, pa.array(names[which[enough]], pa.int64())], names=["digest", "item"])
 
     return found.mapInArrow(run, "digest string, item bigint").distinct()
 
@@ -306,20 +396,25 @@ def find_contamination(
     )
 
     def run(batches):
-        hasher = Hasher()
         memo: dict[tuple, tuple[float, int, int] | None] = {}
+        words: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
             rows = []
             last_key, doc = None, None
-            for key, item, t, q in zip(
-                batch.column("digest").to_pylist(), batch.column("item").to_pylist(), batch.column("text"), batch.column("item_text")
-            ):
+            for k, (key, item) in enumerate(zip(batch.column("digest").to_pylist(), batch.column("item").to_pylist())):
                 if (key, item) not in memo:
                     if key != last_key:
-                        last_key, doc = key, hasher.words(t.as_py())
+                        last_key, doc = key, hash_words(batch.column("text").slice(k, 1))[0]
+                    if item not in words:
+                        if held >= MEMO_WORDS:
+                            words.clear()
+                            held = 0
+                        words[item] = hash_words(batch.column("item_text").slice(k, 1))[0]
+                        held += len(words[item])
                     if len(memo) >= MEMO_WORDS:
                         memo.clear()
-                    memo[key, item] = contamination(doc, hasher.words(q.as_py()), min_score)
+                    memo[key, item] = contamination(doc, words[item], min_score)
                 rows.append(memo[key, item])
             hit = [i for i, r in enumerate(rows) if r is not None]
             take = pa.array(hit, pa.int64())
