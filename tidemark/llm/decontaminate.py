@@ -313,23 +313,24 @@ def _sharing(base: DataFrame, grams: DataFrame, singles: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("grams")
-            got = lists.flatten().to_numpy()
-            begin = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-            first = np.searchsorted(gram, got)
-            met = np.searchsorted(gram, got, side="right") - first
-            upto = np.concatenate([[0], np.cumsum(met)])[begin]
-            for lo, hi in _blocks(np.diff(upto), BLOCK_GRAMS):
-                part = slice(begin[lo], begin[hi])
-                n = met[part]
-                at = np.repeat(first[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                pair = np.repeat(np.arange(lo, hi), np.diff(upto[lo : hi + 1])) * len(names) + code[at]
-                seeded = np.isin(pair, pair[seed[at]])
-                pairs, of = np.unique(pair[seeded], return_inverse=True)
-                rows, which = np.divmod(pairs, len(names))
-                enough = np.bincount(of, weights=places[at[seeded]], minlength=len(pairs)) >= need[which]
-                digests = batch.column("digest").take(pa.array(rows[enough], pa.int64()))
-                yield pa.RecordBatch.from_arrays([digests, pa.array(names[which[enough]], pa.int64())], names=["digest", "item"])
+            length = pc.list_value_length(batch.column("grams")).to_numpy()
+            for start, stop in _blocks(length, BLOCK_GRAMS):
+                got = batch.column("grams").slice(start, stop - start).flatten().to_numpy()
+                begin = np.concatenate([[0], np.cumsum(length[start:stop])])
+                first = np.searchsorted(gram, got)
+                met = np.searchsorted(gram, got, side="right") - first
+                upto = np.concatenate([[0], np.cumsum(met)])[begin]
+                for lo, hi in _blocks(np.diff(upto), BLOCK_GRAMS):
+                    part = slice(begin[lo], begin[hi])
+                    n = met[part]
+                    at = np.repeat(first[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    pair = np.repeat(np.arange(lo, hi), np.diff(upto[lo : hi + 1])) * len(names) + code[at]
+                    seeded = np.isin(pair, pair[seed[at]])
+                    pairs, of = np.unique(pair[seeded], return_inverse=True)
+                    rows, which = np.divmod(pairs, len(names))
+                    enough = np.bincount(of, weights=places[at[seeded]], minlength=len(pairs)) >= need[which]
+                    digests = batch.column("digest").take(pa.array(start + rows[enough], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([digests, pa.array(names[which[enough]], pa.int64())], names=["digest", "item"])
 
     return found.mapInArrow(run, "digest string, item bigint").distinct()
 
