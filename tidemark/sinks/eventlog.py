@@ -8,6 +8,8 @@ partition so readers prune to the partitions they own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +17,24 @@ from tidemark.schemas import SOURCE_RECORD
 from tidemark.session import path_exists
 
 
-def write_event_log(records: DataFrame, root: str, mode: str = "append", by_size: bool = False) -> None:
+def write_event_log(
+    records: DataFrame, root: str, mode: str = "append", by_size: bool = False, make: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Append a batch of log records; each (topic, partition) folder gets the
     batch's records for that partition in files of consecutive offset ranges, so
     a partition that holds most of the log is written by many tasks. ``by_size``: the
     ranges' number is not fixed, so small ones are put together and files follow from the
-    batch's size, for a log that is streamed: a stream pays for every few files."""
+    batch's size, for a log that is streamed: a stream pays for every few files. ``make`` turns rows (topic, partition, offset and
+    what it needs) into records behind the dealing, so that what follows from a row is not moved."""
     n = [] if by_size else [int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))]
+    names = [f.name for f in SOURCE_RECORD.fields]
+    rows = records if make else records.select(*names)
+    dealt = rows.repartitionByRange(*n, "topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
     (
-        records.select(*[f.name for f in SOURCE_RECORD.fields])
-        .repartitionByRange(*n, "topic", "partition", "offset")
-        .sortWithinPartitions("topic", "partition", "offset")
+        (make(dealt) if make else dealt)
+        .select(*names)
         .write.mode(mode)
+        .option("compression", "zstd")
         .partitionBy("topic", "partition")
         .parquet(root)
     )
