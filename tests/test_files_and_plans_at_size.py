@@ -120,3 +120,29 @@ def test_many_folders_are_listed_by_few_tasks(spark):
     with few_listing_tasks(spark):
         assert int(spark.conf.get(key)) <= 4 * spark.sparkContext.defaultParallelism
     assert spark.conf.get(key) == before
+
+
+def test_canonical_files_are_listed_by_few_tasks(spark, tmp_path):
+    """One task a folder was started to look for headers: a job of as many tasks as symbols."""
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from tidemark.sinks.files import write_canonical_csv
+    from tidemark.sources.files import read_canonical_csv
+
+    n = 4 * spark.sparkContext.defaultParallelism + 40
+    prices = "symbol string, trading_date date, open decimal(20,8), high decimal(20,8), low decimal(20,8), close decimal(20,8), volume long, currency string"
+    rows = [(f"S{i}", dt.date(2024, 1, 2 + k), D(10), D(12), D(9), D(11), 5, "USD") for i in range(n) for k in range(2)]
+    out = f"{tmp_path}/canonical"
+    write_canonical_csv(spark.createDataFrame(rows, prices), out)
+    sc = spark.sparkContext
+    sc.setJobGroup("canonical-listing", "canonical-listing")
+    try:
+        back = read_canonical_csv(spark, out)
+        assert back.where("parse_error is null").count() == 2 * n
+    finally:
+        sc._jsc.sc().clearJobGroup()
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("canonical-listing") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+    assert tasks and max(tasks) < n
